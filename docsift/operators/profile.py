@@ -116,7 +116,7 @@ def length_summary(df: DataFrame, value: str, approximate: bool = False) -> Data
     if approximate:
         cuts = df.agg(F.percentile_approx(value, [0.25, 0.5, 0.75], 10000)).scalar()
     else:
-        cuts = F.percentile("v", shares, "n")
+        cuts = F.percentile("v", shares, F.col("n"))
     summary = counts.agg(
         F.min("v").alias("min"),
         F.max("v").alias("max"),
@@ -133,7 +133,7 @@ def length_summary(df: DataFrame, value: str, approximate: bool = False) -> Data
 def corpus_metrics(clean: DataFrame) -> DataFrame:
     """Raw and clean length metrics of a ``clean_corpus`` table in one row."""
     chars = clean.groupBy("raw_chars").agg(F.count(F.lit(1)).alias("n"))
-    median = chars.agg(F.percentile("raw_chars", F.lit(0.5), "n")).scalar()
+    median = chars.agg(F.percentile("raw_chars", F.lit(0.5), F.col("n"))).scalar()
     return clean.agg(
         F.count(F.lit(1)).alias("total_samples"),
         F.avg("raw_chars").alias("raw_avg_chars"),
