@@ -5,14 +5,15 @@ set, written out so that Java regular expressions behave the same for every
 script. Combining marks are not word characters.
 """
 
-from __future__ import annotations
-
 import functools
 import operator
 from collections.abc import Iterable
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from docsift.functions.arrays import bind
 
@@ -88,20 +89,25 @@ def _standing_alone(body: str) -> str:
     return rf"(?iu)(?<![{WORD}])(?:{body})(?![{WORD}])"
 
 
-@F.arrow_udf("string")
-def _nfkd(texts):
-    import pyarrow.compute as pc
+def _nfkd_udf():
+    # A nested function travels to the workers by value.
+    def normalized(texts: pa.Array) -> pa.Array:
+        import pyarrow.compute as pc
+
+        return pc.utf8_normalize(texts, form="NFKD")
+
+    return F.arrow_udf(normalized, StringType())
 
-    return pc.utf8_normalize(texts, form="NFKD")
 
+def _accents_udf():
+    def stripped(texts: pd.Series) -> pd.Series:
+        import sys
+        import unicodedata
 
-@F.pandas_udf("string")
-def _without_accents(texts):
-    import sys
-    import unicodedata
+        marks = {c: None for c in range(sys.maxunicode + 1) if unicodedata.combining(chr(c))}
+        return texts.str.normalize("NFKD").str.translate(marks)
 
-    marks = {c: None for c in range(sys.maxunicode + 1) if unicodedata.combining(chr(c))}
-    return texts.str.normalize("NFKD").str.translate(marks)
+    return F.pandas_udf(stripped, StringType())
 
 
 def _only_non_ascii(text: Column, apply) -> Column:
@@ -111,11 +117,11 @@ def _only_non_ascii(text: Column, apply) -> Column:
 
 
 def normalize_nfkd(text: Column) -> Column:
-    return _only_non_ascii(text, _nfkd)
+    return _only_non_ascii(text, _nfkd_udf())
 
 
 def strip_accents(text: Column) -> Column:
-    return _only_non_ascii(text, _without_accents)
+    return _only_non_ascii(text, _accents_udf())
 
 
 def strip_blanks(text: Column) -> Column:

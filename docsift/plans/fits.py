@@ -29,6 +29,10 @@ NB_GRID = [0.01, 0.1, 0.5, 1.0]
 FOREST_TREES = 200
 FOREST_DEPTHS = [30]
 FOREST_MIN_ROWS = [1, 2]
+TOLERANCE = 1e-4
+
+# An iteration is one short job: below this many rows a task costs more than it does.
+ROWS_PER_TASK = 10_000
 
 
 class MacroF1(Evaluator):
@@ -62,17 +66,23 @@ def training_set(vectors: DataFrame, category: str, balanced: bool = True) -> Tr
     weights = [n / (len(classes) * sizes[c]) if balanced else 1.0 for c in classes]
     rows = vectors.dropna(subset=[category]).withColumn("label", place.cast("double"))
     rows = rows.withColumn("weight", F.get(F.array(*[F.lit(w) for w in weights]), place.cast("int")))
-    return TrainingSet(rows, classes, n)
+    parts = max(1, -(-n // ROWS_PER_TASK))
+    return TrainingSet(rows.coalesce(parts), classes, n)
 
 
 def logistic_regression(n: int, c: float = 1.0, max_iter: int = 1000) -> LogisticRegression:
     return LogisticRegression(
-        family="multinomial", standardization=False, regParam=1.0 / (c * n), maxIter=max_iter, weightCol="weight"
+        family="multinomial",
+        standardization=False,
+        regParam=1.0 / (c * n),
+        maxIter=max_iter,
+        tol=TOLERANCE,
+        weightCol="weight",
     )
 
 
 def linear_svm(n: int, c: float = 1.0, max_iter: int = 100, parallelism: int = 4) -> OneVsRest:
-    svc = LinearSVC(standardization=False, regParam=1.0 / (c * n), maxIter=max_iter)
+    svc = LinearSVC(standardization=False, regParam=1.0 / (c * n), maxIter=max_iter, tol=TOLERANCE)
     return OneVsRest(classifier=svc, weightCol="weight", parallelism=parallelism)
 
 
@@ -165,7 +175,7 @@ def naive_bayes_fold_predictions(
     return fold_predictions(fit, terms, folds)
 
 
-def platt_scaling(margins: DataFrame, by: Sequence[str], steps: int = 30, tolerance: float = 1e-9) -> pd.DataFrame:
+def platt_scaling(margins: DataFrame, by: Sequence[str], steps: int = 30, tolerance: float = 1e-6) -> pd.DataFrame:
     """Sigmoid parameters ``a, b`` per group for rows ``(*by, margin, positive)``.
 
     Newton's method for all groups together: each step is one grouped sum, and the

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from docsift.functions.arrays import settle
 from docsift.operators import classify as C
 from docsift.operators import evaluate as E
 from docsift.operators import features as X
+from docsift.operators.embed import embed
 from docsift.operators import splits as S
 from docsift.plans import compare as CM
 from docsift.plans import fits as FT
@@ -554,7 +556,7 @@ def logistic_regression_metrics(spark: SparkSession, sf: str) -> DataFrame:
 @query("M5")
 def linear_svm_metrics(spark: SparkSession, sf: str) -> DataFrame:
     train, _, _ = _training(spark, sf)
-    model = once(spark, sf, "svm", lambda: FT.linear_svm(train.n, max_iter=50).fit(train.rows))
+    model = once(spark, sf, "svm", lambda: FT.linear_svm(train.n).fit(train.rows))
     return _test_metrics(spark, sf, "Linear SVM", model)
 
 
@@ -591,8 +593,6 @@ def top_class_coefficients(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("M17")
 def embedding_regression_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.ml.functions import array_to_vector
-
     rows = table(spark, sf, "embeddings")
     split = S.stratified_split(rows, "vec_id", "label").withColumn("features", array_to_vector("embedding"))
     split = materialize(split.drop("embedding"), "embedding-vectors")
@@ -603,28 +603,26 @@ def embedding_regression_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(E.model_metrics(predicted.withColumn("model", F.lit("Embedding + LR"))), *_SCORES)
 
 
-def _hash_encoder():
-    """A small stand-in for a sentence encoder: word hashes added up over the whole window."""
-    import zlib
-
-    import numpy as np
+@query("M16")
+def encoded_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """A small stand-in for a sentence encoder adds up word hashes over its window."""
 
-    def encode(texts, max_tokens):
-        out = np.zeros((len(texts), 64))
-        for i, text in enumerate(texts):
-            for word in text.lower().split()[:max_tokens]:
-                code = zlib.crc32(word.encode())
-                out[i, code % 64] += 1.0 if code & 64 else -1.0
-        return out
+    def load_encoder():
+        import zlib
 
-    return encode
+        import numpy as np
 
+        def encode(texts, max_tokens):
+            out = np.zeros((len(texts), 64))
+            for i, text in enumerate(texts):
+                for word in text.lower().split()[:max_tokens]:
+                    code = zlib.crc32(word.encode())
+                    out[i, code % 64] += 1.0 if code & 64 else -1.0
+            return out
 
-@query("M16")
-def encoded_documents(spark: SparkSession, sf: str) -> DataFrame:
-    from docsift.operators.embed import embed
+        return encode
 
-    rows = embed(documents(spark, sf, "text"), "doc_id", "text", _hash_encoder)
+    rows = embed(documents(spark, sf, "text"), "doc_id", "text", load_encoder)
     return rows.select("doc_id", F.size("embedding").alias("dims"), F.round(V.l2_norm(F.col("embedding")), 4).alias("norm"))
 
 
