@@ -75,9 +75,11 @@ def stratified_split(
     """
     mark = per_class(df, category)
     cutoffs = stratified_cutoffs(df, row_id, category, test_share, seed, mark)
+    cutoffs = cutoffs.select(F.col("c").alias("__class"), F.col("cut").alias("__cut"))
     here = F.struct(hash_order(row_id, seed).alias("h"), F.col(row_id).alias("id"))
-    joined = df.join(mark(cutoffs), F.col(category) == F.col("c"), "left")
-    return joined.withColumn("is_test", F.coalesce(here <= F.col("cut"), F.lit(False))).drop("c", "cut")
+    joined = df.join(mark(cutoffs), F.col(category) == F.col("__class"), "left")
+    is_test = F.coalesce(here <= F.col("__cut"), F.lit(False))
+    return joined.withColumn("is_test", is_test).drop("__class", "__cut")
 
 
 def stratified_folds(

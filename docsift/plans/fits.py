@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
@@ -194,14 +196,14 @@ def platt_scaling(margins: DataFrame, by: Sequence[str], steps: int = 30, tolera
         )
         sums = (
             margins.join(side, list(by))
-            .select(*by, "margin", (target - p).alias("g"), (p * (1 - p)).alias("h"))
+            .select(*by, "margin", (target - p).alias("slope"), (p * (1 - p)).alias("bend"))
             .groupBy(*by)
             .agg(
-                F.sum(F.col("g") * F.col("margin")).alias("ga"),
-                F.sum("g").alias("gb"),
-                F.sum(F.col("h") * F.col("margin") * F.col("margin")).alias("haa"),
-                F.sum(F.col("h") * F.col("margin")).alias("hab"),
-                F.sum("h").alias("hbb"),
+                F.sum(F.col("slope") * F.col("margin")).alias("ga"),
+                F.sum("slope").alias("gb"),
+                F.sum(F.col("bend") * F.col("margin") * F.col("margin")).alias("haa"),
+                F.sum(F.col("bend") * F.col("margin")).alias("hab"),
+                F.sum("bend").alias("hbb"),
             )
             .toPandas()
         )
@@ -230,14 +232,22 @@ def _margins(model: Model, rows: DataFrame) -> DataFrame:
     return model.transform(rows).withColumn("margins", vector_to_array("rawPrediction"))
 
 
-def fit_calibrated_svm(train: TrainingSet, c: float = 1.0, folds: int = 5) -> CalibratedSvm:
-    models, held_out = [], None
-    for k in range(folds):
-        model = linear_svm(train.n, c).fit(train.rows.filter(F.col("fold") != k))
+def fit_calibrated_svm(
+    train: TrainingSet, c: float = 1.0, folds: int = 5, max_iter: int = 100, parallelism: int = 4
+) -> CalibratedSvm:
+    """Folds are independent, so their fits are submitted side by side."""
+
+    def fit_fold(k: int) -> Model:
+        return linear_svm(train.n, c, max_iter).fit(train.rows.filter(F.col("fold") != k))
+
+    spark = train.rows.sparkSession
+    with ThreadPool(parallelism) as pool:
+        models = pool.map(inheritable_thread_target(spark)(fit_fold), range(folds))
+    held_out = None
+    for k, model in enumerate(models):
         part = _margins(model, train.rows.filter(F.col("fold") == k)).select(
             F.lit(k).alias("fold"), "label", F.posexplode("margins").alias("class", "margin")
         )
-        models.append(model)
         held_out = part if held_out is None else held_out.unionByName(part)
     positive = F.col("label") == F.col("class")
     held_out = held_out.select("fold", "class", "margin", positive.alias("positive")).persist()

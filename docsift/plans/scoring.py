@@ -24,8 +24,8 @@ def checked_inputs(documents: DataFrame) -> DataFrame:
 
     The written columns are narrow: the full text goes no further than here.
     """
-    text = F.col("text")
-    cleaned = settle(documents.withColumn("text", T.strip_blanks(text)), tokens=T.clean_tokens(text))
+    raw, text = F.col("text"), F.col("stripped")
+    cleaned = settle(documents, stripped=T.strip_blanks(F.coalesce(raw, F.lit(""))), tokens=T.clean_tokens(raw))
     checked = validate(cleaned, "text", "tokens", "filename")
     tokens = F.col("tokens")
     return checked.select(
@@ -33,7 +33,7 @@ def checked_inputs(documents: DataFrame) -> DataFrame:
         filename_or_default(F.col("filename")).alias("filename"),
         "status",
         "reason",
-        F.length("text").alias("text_length_chars"),
+        F.length(text).alias("text_length_chars"),
         T.word_count(text).alias("word_count_raw"),
         F.size(tokens).alias("word_count_clean"),
         top_terms(tokens, KEYWORDS).alias("keywords"),

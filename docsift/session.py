@@ -33,6 +33,9 @@ def local_session(cores: int | str = "*", app: str = "docsift", **conf: str) ->
     return spark
 
 
+_own_folders: dict[str, str] = {}
+
+
 def work_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -40,12 +43,14 @@ def work_folder(spark: SparkSession) -> str:
     its own.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="docsift-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
+    application = spark.sparkContext.applicationId
+    if application not in _own_folders:
+        _own_folders[application] = tempfile.mkdtemp(prefix="docsift-")
+    return _own_folders[application]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 MAX_ITEMS = 100
 
-ENTRY_SCHEMA = StructType.fromDDL(
+ENTRY_SCHEMA = (
     "id BIGINT, timestamp TIMESTAMP, filename STRING, classic_category STRING, classic_confidence DOUBLE, "
     "classic_confidence_percentage STRING, advanced_category STRING, advanced_confidence DOUBLE, "
     "advanced_confidence_percentage STRING, agreement BOOLEAN, keywords ARRAY<STRING>, word_count INT"

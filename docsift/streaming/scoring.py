@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from docsift.operators import classify as C
 from docsift.plans.scoring import checked_inputs, history_entries, score_documents
@@ -15,7 +14,7 @@ from docsift.sources.files import extract_text
 from docsift.sources.store import materialize
 from docsift.streaming.history import append_batch
 
-INPUT_SCHEMA = StructType.fromDDL("doc_id BIGINT, filename STRING, text STRING, received TIMESTAMP")
+INPUT_SCHEMA = "doc_id BIGINT, filename STRING, text STRING, received TIMESTAMP"
 
 
 def landing_rows(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
