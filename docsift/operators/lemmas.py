@@ -34,8 +34,9 @@ def lemma_map(tokens: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
     A stem counts when the lexicon (one column ``term``; by default the tokens
     themselves) holds it. The shortest accepted form wins, then the lowest.
     """
-    words = tokens.select("token").distinct().filter(~F.col("token").isin(PROTECTED))
-    terms = (lexicon.select("term") if lexicon is not None else tokens.select(F.col("token").alias("term"))).distinct()
+    vocabulary = materialize(tokens.select("token").distinct(), "vocabulary")
+    words = vocabulary.filter(~F.col("token").isin(PROTECTED))
+    terms = lexicon.select("term").distinct() if lexicon is not None else vocabulary.toDF("term")
     forms = words.select("token", F.explode(F.concat(F.array("token"), stems(F.col("token")))).alias("term"))
     accepted = forms.join(terms, "term", "left_semi")
     order = F.struct(F.length("term"), F.col("term"))

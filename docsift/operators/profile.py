@@ -131,19 +131,30 @@ def length_summary(df: DataFrame, value: str, approximate: bool = False) -> Data
 
 
 def corpus_metrics(clean: DataFrame) -> DataFrame:
-    """Raw and clean length metrics of a ``clean_corpus`` table in one row."""
-    chars = clean.groupBy("raw_chars").agg(F.count(F.lit(1)).alias("n"))
-    median = chars.agg(F.percentile("raw_chars", F.lit(0.5), F.col("n"))).scalar()
-    return clean.agg(
-        F.count(F.lit(1)).alias("total_samples"),
-        F.avg("raw_chars").alias("raw_avg_chars"),
-        F.avg("raw_words").alias("raw_avg_words"),
-        F.min("raw_words").alias("raw_min_words"),
-        F.max("raw_words").alias("raw_max_words"),
-        F.avg("clean_chars").alias("clean_avg_chars"),
-        F.avg("clean_words").alias("clean_avg_words"),
+    """Raw and clean length metrics of a ``clean_corpus`` table in one row.
+
+    One pass: sums per text length first, then totals and the median over them.
+    """
+    per_length = clean.groupBy("raw_chars").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("raw_words").alias("raw_words"),
+        F.min("raw_words").alias("min_words"),
+        F.max("raw_words").alias("max_words"),
+        F.sum("clean_chars").alias("clean_chars"),
+        F.sum("clean_words").alias("clean_words"),
+    )
+    n = F.sum("n")
+    return per_length.agg(
+        n.alias("total_samples"),
+        (F.sum(F.col("raw_chars") * F.col("n")) / n).alias("raw_avg_chars"),
+        (F.sum("raw_words") / n).alias("raw_avg_words"),
+        F.min("min_words").alias("raw_min_words"),
+        F.max("max_words").alias("raw_max_words"),
+        (F.sum("clean_chars") / n).alias("clean_avg_chars"),
+        (F.sum("clean_words") / n).alias("clean_avg_words"),
         F.sum("clean_words").cast("long").alias("total_tokens"),
-    ).withColumn("raw_median_chars", median)
+        F.percentile("raw_chars", F.lit(0.5), F.col("n")).alias("raw_median_chars"),
+    )
 
 
 def duplicates(df: DataFrame, key: Column) -> DataFrame:
@@ -230,7 +241,8 @@ def top_terms_by_category(
 ) -> DataFrame:
     """Most frequent terms in each of the largest categories.
 
-    The rank filter directly on ``row_number`` lets Spark cut every partition to
+    ``tokens`` may be a cleaning expression over ``df``: finding the categories
+    reads only their column, and other categories are never cleaned. The rank filter directly on ``row_number`` lets Spark cut every partition to
     ``k`` rows per category before the shuffle.
     """
     largest = top_categories(df.select(category), category, categories).select(category)

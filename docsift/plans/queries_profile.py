@@ -176,8 +176,8 @@ SELECT lang, term, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, term
 QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, term) <= 10""",
 )
 def top_terms_by_category(spark: SparkSession, sf: str) -> DataFrame:
-    rows = P.with_clean_text(documents(spark, sf, "lang", "text"))
-    return P.top_terms_by_category(rows, "lang", F.col("tokens"))
+    rows = documents(spark, sf, "lang", "text")
+    return P.top_terms_by_category(rows, "lang", T.clean_tokens(F.col("text")))
 
 
 @query("L2", "SELECT lang, count(*) AS n FROM documents GROUP BY lang ORDER BY n DESC, lang LIMIT 5")
