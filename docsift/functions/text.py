@@ -224,7 +224,12 @@ def _replace_from(text: Column, sign: str, pattern: str) -> Column:
 
 
 def remove_social(text: Column) -> Column:
-    text = F.regexp_replace(text, REPOST, " ")
+    text = bind(
+        text,
+        lambda t: F.when(
+            F.contains(t, F.lit("RT")) | F.contains(t, F.lit("cc")), F.regexp_replace(t, REPOST, " ")
+        ).otherwise(t),
+    )
     return _replace_from(_replace_from(text, "@", MENTION), "#", HASHTAG)
 
 
@@ -275,16 +280,30 @@ def drop_stop_words(tokens: Column, words: Iterable[str] = STOP_WORDS) -> Column
     return F.filter(tokens, lambda t: ~t.isin(_listed(words)))
 
 
-def prepared_text(text: Column) -> Column:
-    """Everything that happens to the text before it is cut into tokens.
+def _protect_where_needed(text: Column) -> Column:
+    """``protect_terms`` for texts in which it can change the tokens.
 
-    Blanks are folded together with non-word characters, so tokens are the
-    pieces between single spaces.
+    A term of letters alone reads the same without protection unless a link, an
+    address or a tag might swallow it. So only texts with a symbol term, one of
+    those signs, or a dotless i go through the replacement.
     """
-    text = normalize_nfkd(F.coalesce(text, F.lit("")))
-    text = protect_terms(text)
-    text = remove_social(remove_phones(remove_emails(remove_urls(text))))
-    return restore_terms(F.lower(F.regexp_replace(text, rf"[^{WORD}]+", " ")))
+    symbol_terms = sorted({_needle(w) for w, _, _ in TECH_TERMS if not w.isalpha()})
+    symbol_terms = {".js" if w.endswith(".js") else "#" if w.endswith("#") else w for w in symbol_terms}
+    folded_needles = sorted(w for w in symbol_terms if not any(o != w and o in w for o in symbol_terms))
+
+    def needed(t: Column, folded: Column) -> Column:
+        signs = _any_of(F.contains(t, F.lit(sign)) for sign in ("@", "://", "www.", "\u0131"))
+        return signs | _any_of(F.contains(folded, F.lit(n)) for n in folded_needles)
+
+    return bind(
+        text, lambda t: F.when(bind(F.lower(t), lambda f: needed(t, f)), protect_terms(t)).otherwise(t)
+    )
+
+
+def prepared_text(text: Column) -> Column:
+    """Everything that happens to the text before its words are taken out."""
+    text = _protect_where_needed(normalize_nfkd(F.coalesce(text, F.lit(""))))
+    return remove_social(remove_phones(remove_emails(remove_urls(text))))
 
 
 def clean_tokens(
@@ -292,17 +311,21 @@ def clean_tokens(
     words: Iterable[str] | None = STOP_WORDS,
     keep_protected_short: bool = False,
 ) -> Column:
-    """Tokens of the cleaned text; ``words=None`` keeps stop words."""
+    """Tokens of the cleaned text; ``words=None`` keeps stop words.
+
+    Runs of word characters are taken out and lower-cased. Placeholders and edge
+    punctuation can occur only in texts with an underscore.
+    """
 
     def kept(token: Column) -> Column:
         keep = _long_enough(token, keep_protected_short)
         return keep if words is None else keep & ~token.isin(_listed(words))
 
     def tokens(t: Column) -> Column:
-        # Edge punctuation is left only by underscores and restored terms.
-        edges = t.rlike(r"[!-/:-@\[-`{-~]")
-        pieces = F.split(t, " ")
-        return bind(pieces, lambda p: F.filter(F.when(edges, trim_tokens(p)).otherwise(p), kept))
+        found = F.regexp_extract_all(t, F.lit(rf"[{WORD}]+"), F.lit(0))
+        plain = F.transform(found, F.lower)
+        restored = trim_tokens(F.transform(found, lambda k: restore_terms(F.lower(k))))
+        return F.filter(F.when(F.contains(t, F.lit("_")), restored).otherwise(plain), kept)
 
     return bind(prepared_text(text), tokens)
 
