@@ -7,6 +7,7 @@ Scoring adds up the arrays per document; rows are not multiplied by classes.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from docsift.functions import vectors as V
 from docsift.operators import features as X
 from docsift.operators.labels import class_names
-from docsift.sources.store import materialize
+from docsift.sources.store import broadcast_within, materialize
 
 
 MAX_BROADCAST_VALUES = 20_000_000
@@ -83,6 +84,69 @@ def fit_naive_bayes(
     return NaiveBayes(classes, priors, smoothed_weights(sums, classes, alpha), config)
 
 
+def naive_bayes_grid(
+    features: DataFrame, row_id: str, category: str, alphas: Sequence[float], folds: int = 5
+) -> DataFrame:
+    """Cross-validated predictions for every smoothing value:
+    ``(row_id, fold, y_true, alpha, y_pred)``.
+
+    ``features`` is a written ``transform`` table with a ``fold`` column. A model
+    without one fold is the sum of the others, so all folds and values share one
+    pass over the class sums and one over the rows, instead of one fit each.
+    """
+    features = features.dropna(subset=[category])
+    classes = class_names(features, category)
+    counts = features.groupBy(category, "fold").agg(F.count(F.lit(1)).alias("n")).collect()
+    sizes = {(r[category], r["fold"]): r["n"] for r in counts}
+    k, places = len(classes), range(len(classes))
+    rows = X.long_weights(features.select(category, "fold", "features"))
+    of_class = [F.sum(F.when(F.col(category) == F.lit(c), F.col("weight")).otherwise(0.0)) for c in classes]
+    parts = materialize(rows.groupBy("term", "fold").agg(F.array(*of_class).alias("part")), "fold-sums")
+    whole = parts.groupBy("term").agg(F.array(*[F.sum(F.col("part")[i]) for i in places]).alias("whole"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold")
+    rest = F.zip_with(
+        "whole",
+        F.coalesce("part", F.array(*[F.lit(0.0) for _ in places])),
+        lambda x, y: F.greatest(x - y, F.lit(0.0)),
+    )
+    kept = whole.select("term", "whole", every).join(parts, ["term", "fold"], "left").select("term", "fold", rest.alias("rest"))
+    totals = kept.groupBy("fold").agg(
+        F.array(*[F.sum(F.col("rest")[i]) for i in places]).alias("total"), F.count(F.lit(1)).alias("terms")
+    )
+    logs = [
+        F.log(F.col("rest")[i] + F.lit(a)) - F.log(F.col("total")[i] + F.lit(a) * F.col("terms"))
+        for a in alphas
+        for i in places
+    ]
+    model = kept.join(F.broadcast(totals), "fold").select("term", "fold", F.array(*logs).alias("logs"))
+    model = materialize(model, "fold-models")
+    side = broadcast_within(model, MAX_BROADCAST_VALUES // (len(alphas) * k))
+    summed = (
+        features.select(row_id, category, "fold", F.inline_outer("features"))
+        .join(side, ["term", "fold"], "left")
+        .groupBy(row_id, category, "fold")
+        .agg(*[F.sum(F.col("weight") * F.col("logs")[j]).alias(f"s{j}") for j in range(len(alphas) * k)])
+    )
+
+    def prior(c, fold: int) -> Column:
+        seen = sum(n for (d, f), n in sizes.items() if d == c and f != fold)
+        return F.lit(math.log(seen / sum(n for (_, f), n in sizes.items() if f != fold)) if seen else -math.inf)
+
+    def joint(j: int, i: int) -> Column:
+        per_fold = F.get(F.array(*[prior(classes[i], f) for f in range(folds)]), F.col("fold"))
+        return F.coalesce(F.col(f"s{j * k + i}"), F.lit(0.0)) + per_fold
+
+    named = class_array(classes)
+    choices = [
+        F.struct(
+            F.lit(float(a)).alias("alpha"),
+            F.get(named, V.argmax(F.array(*[joint(j, i) for i in places]))).alias("y_pred"),
+        )
+        for j, a in enumerate(alphas)
+    ]
+    return summed.select(row_id, "fold", F.col(category).alias("y_true"), F.inline(F.array(*choices)))
+
+
 def _model_side(model: NaiveBayes) -> DataFrame:
     values = model.config.max_features * (len(model.classes) + 1)
     return F.broadcast(model.terms) if values <= MAX_BROADCAST_VALUES else model.terms

@@ -147,5 +147,6 @@ def to_vectors(features: DataFrame, size: int) -> DataFrame:
 def class_weights(df: DataFrame, category: str) -> DataFrame:
     """Balanced weights ``n / (K * n_c)``."""
     counts = df.dropna(subset=[category]).groupBy(category).agg(F.count(F.lit(1)).alias("n"))
-    total, classes = counts.agg(F.sum("n")).scalar(), counts.agg(F.count(F.lit(1))).scalar()
-    return counts.select(category, "n", (total.cast("double") / (classes * F.col("n"))).alias("weight"))
+    whole = counts.agg(F.struct(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes"))).scalar()
+    weight = F.col("whole.rows").cast("double") / (F.col("whole.classes") * F.col("n"))
+    return counts.withColumn("whole", whole).select(category, "n", weight.alias("weight"))

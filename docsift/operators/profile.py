@@ -271,10 +271,13 @@ def token_budget(df: DataFrame, text: str, limits: tuple[int, ...] = (256, 512),
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
-    """Equal-width bins over the value range; the last bin includes the maximum."""
-    low, high = df.agg(F.min(value)).scalar(), df.agg(F.max(value)).scalar()
+    """Equal-width bins over the value range; the last bin includes the maximum.
+
+    Range and bins both come from the counts per value, which are made once.
+    """
     values = df.groupBy(F.col(value).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    placed = values.withColumn("low", low.cast("double")).withColumn("high", high.cast("double"))
+    ends = values.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high"))).scalar()
+    placed = values.withColumn("ends", ends).select("v", "n", "ends.low", "ends.high")
     width = (F.col("high") - F.col("low")) / bins
     index = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("v") - F.col("low")) / width), F.lit(bins - 1))

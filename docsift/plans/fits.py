@@ -233,7 +233,7 @@ def _margins(model: Model, rows: DataFrame) -> DataFrame:
 
 
 def fit_calibrated_svm(
-    train: TrainingSet, c: float = 1.0, folds: int = 5, max_iter: int = 100, parallelism: int = 4
+    train: TrainingSet, c: float = 1.0, folds: int = 5, max_iter: int = 100, parallelism: int = 5
 ) -> CalibratedSvm:
     """Folds are independent, so their fits are submitted side by side."""
 

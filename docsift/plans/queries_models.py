@@ -37,6 +37,7 @@ from docsift.plans.registry import (
 from docsift.session import new_path
 from docsift.sources.store import materialize, spread
 from docsift.streaming import history as H
+from docsift.streaming import scoring as SS
 
 _TRAIN = ",\n".join(
     [Q.USABLE, Q.ranked("usable", "lang"), Q.gram_counts(), Q.vocabulary("split", "NOT is_test")]
@@ -626,6 +627,39 @@ def encoded_documents(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", F.size("embedding").alias("dims"), F.round(V.l2_norm(F.col("embedding")), 4).alias("norm"))
 
 
+_GRID = f"""WITH {_TRAIN}, {Q.WEIGHTS},
+tw AS MATERIALIZED (SELECT w.doc_id, w.category, w.term, w.weight, split.fold FROM weights w JOIN split USING (doc_id) WHERE NOT is_test),
+folds AS (SELECT DISTINCT fold FROM split), alphas AS (SELECT unnest([0.01, 0.1, 0.5, 1.0])::DOUBLE AS alpha),
+ks AS (SELECT DISTINCT category AS k FROM split),
+priors AS (SELECT f.fold, s.category AS k, ln(count(*) / sum(count(*)) OVER (PARTITION BY f.fold)) AS p
+  FROM folds f JOIN split s ON s.fold <> f.fold AND NOT s.is_test GROUP BY f.fold, s.category),
+sums AS MATERIALIZED (SELECT f.fold, term, category AS k, sum(weight) AS s FROM folds f JOIN tw ON tw.fold <> f.fold GROUP BY ALL),
+totals AS (SELECT fold, k, alpha, sum(s) + alpha * (SELECT count(*) FROM vocab) AS total FROM sums CROSS JOIN alphas GROUP BY fold, k, alpha),
+known AS (SELECT tw.doc_id, t.k, t.alpha, sum(weight * (ln(coalesce(s, 0) + t.alpha) - ln(total))) AS s
+  FROM tw JOIN totals t ON t.fold = tw.fold LEFT JOIN sums ON sums.fold = tw.fold AND sums.term = tw.term AND sums.k = t.k GROUP BY ALL),
+joint AS (SELECT d.doc_id, d.fold, d.category AS y_true, a.alpha, p.k, p.p + coalesce(known.s, 0) AS j,
+  rank() OVER (PARTITION BY d.doc_id, a.alpha ORDER BY p.k) AS rk
+  FROM split d CROSS JOIN alphas a JOIN priors p ON p.fold = d.fold
+  LEFT JOIN known ON known.doc_id = d.doc_id AND known.alpha = a.alpha AND known.k = p.k WHERE NOT d.is_test),
+found AS MATERIALIZED (SELECT doc_id, fold, y_true, alpha, arg_max(k, (j, -rk)) AS y_pred FROM joint GROUP BY ALL),
+sides AS (SELECT alpha, fold, y_true AS class, 1 AS t, 0 AS p, CASE WHEN y_true = y_pred THEN 1 ELSE 0 END AS h FROM found
+  UNION ALL SELECT alpha, fold, y_pred, 0, 1, 0 FROM found),
+f1 AS (SELECT alpha, fold, avg(f1) AS f1_macro FROM (
+  SELECT alpha, fold, class, 2.0 * sum(h) / (sum(t) + sum(p)) AS f1 FROM sides GROUP BY ALL) GROUP BY ALL)"""
+
+
+@query("M9 M10", f"{_GRID} SELECT alpha, fold, round(f1_macro, 6) AS f1_macro FROM f1")
+def naive_bayes_grid_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Four smoothing values over five folds in one pass."""
+    c = corpus(spark, sf)
+    train = c.train_terms()
+    fitted = materialize(X.fit_vocabulary(train), "vocabulary")
+    features = X.transform(train, fitted, "doc_id").join(c.split.select("doc_id", "fold"), "doc_id")
+    found = C.naive_bayes_grid(materialize(features, "features"), "doc_id", "category", FT.NB_GRID)
+    scores = E.averages(E.class_metrics(found, ["alpha", "fold"]), ["alpha", "fold"])
+    return rounded(scores.select("alpha", "fold", "f1_macro"), "f1_macro")
+
+
 # --- scoring and history -------------------------------------------------------------
 
 
@@ -688,6 +722,48 @@ def latest_history(spark: SparkSession, sf: str) -> DataFrame:
     return newest.select("id", "classic_category", "advanced_category", "agreement", "word_count")
 
 
+_STREAMED = f"""WITH {_SCORED} SELECT doc_id AS id, classic AS classic_category, advanced AS advanced_category,
+  classic IS NOT DISTINCT FROM advanced AS agreement, len({Q.words('text')}) AS word_count FROM scored"""
+
+
+@query("R1 R2", _STREAMED)
+def streamed_history(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents as landing rows, scored by a stream that ends when they are read."""
+    folder = new_path(spark, "stream")
+    rows = documents(spark, sf, "text").select(
+        "doc_id",
+        F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("filename"),
+        "text",
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id")).alias("received"),
+    )
+    rows.write.json(f"{folder}/in")
+    advanced = vector_predictions(spark, sf).drop("y_true")
+    SS.score_stream(
+        SS.landing_rows(spark, f"{folder}/in"),
+        naive_bayes(spark, sf),
+        lambda checked: advanced,
+        vector_model(spark, sf).classes,
+        f"{folder}/history",
+        f"{folder}/quarantine",
+        f"{folder}/state",
+    ).awaitTermination()
+    history = H.read_history(spark, f"{folder}/history")
+    return history.select("id", "classic_category", "advanced_category", "agreement", "word_count")
+
+
+@query("R3", "SELECT count(*) AS written, CAST(0 AS BIGINT) AS left_over FROM documents")
+def cleared_history(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_path(spark, "history")
+    entries = documents(spark, sf).select(F.col("doc_id").alias("id"), F.timestamp_seconds("doc_id").alias("timestamp"))
+    empty = spark.createDataFrame([], H.ENTRY_SCHEMA)
+    H.append_batch(empty.unionByName(entries, allowMissingColumns=True), path, 0)
+    written = H.read_history(spark, path).agg(F.count(F.lit(1)).alias("written"))
+    written = materialize(written, "count")
+    H.clear(spark, path)
+    left = H.read_history(spark, path).agg(F.count(F.lit(1))).scalar()
+    return written.withColumn("left_over", left)
+
+
 @query(
     "W6",
     "SELECT event_id, user_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 3",
