@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docsift.sources.store import within
+from docsift.sources.store import broadcast_within, within
 
-MAX_CLASSES = 10_000
+MAX_CLASSES = 1_000
 
 
 def class_names(df: DataFrame, category: str) -> list:
@@ -37,11 +37,12 @@ def label_dimension(df: DataFrame, category: str) -> DataFrame:
 
 
 def encode(df: DataFrame, labels: DataFrame, category: str) -> DataFrame:
-    return df.join(labels, category, "left")
+    return df.join(broadcast_within(labels, MAX_CLASSES), category, "left")
 
 
 def decode(df: DataFrame, labels: DataFrame, category: str) -> DataFrame:
-    return df.join(labels.select("label_index", category), "label_index", "left")
+    dimension = broadcast_within(labels.select("label_index", category), MAX_CLASSES)
+    return df.join(dimension, "label_index", "left")
 
 
 def missing_categories(catalogue: DataFrame, corpus: DataFrame, category: str) -> DataFrame:

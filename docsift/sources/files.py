@@ -40,20 +40,21 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _run_handlers(handlers: Mapping[str, Handler]):
-    """Per-batch helper: one handler per extension, all of them for unknown ones."""
+    """Per-batch helper: one handler per extension, all of them for unknown ones.
+    Content that no handler could read is handed on."""
 
-    def text_of(kind: str, content: bytes) -> tuple[str | None, str | None]:
+    def text_of(kind: str, content: bytes) -> tuple[str | None, str | None, bytes | None]:
         known = kind in handlers
-        problem = None
         for handler in [handlers[kind]] if known else handlers.values():
             try:
                 text = handler(bytes(content))
             except Exception as failure:  # a bad file must not fail the job
-                problem = str(failure)
+                if known:
+                    return None, str(failure), None
                 continue
             if text or known:
-                return text, None
-        return None, problem if known else None
+                return text, None, None
+        return None, None, content
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -62,8 +63,9 @@ def _run_handlers(handlers: Mapping[str, Handler]):
                 {
                     "filename": batch["filename"],
                     "path": batch["path"],
-                    "text": [t for t, _ in found],
-                    "error": [e for _, e in found],
+                    "text": [t for t, _, _ in found],
+                    "error": [e for _, e, _ in found],
+                    "content": [c for _, _, c in found],
                 }
             )
 
@@ -75,42 +77,29 @@ def extract_text(files: DataFrame, handlers: Mapping[str, Handler] | None = None
 
     Plain-text kinds are decoded by built-in functions. ``handlers`` maps further
     extensions ('.pdf', '.docx', '.doc') to functions from bytes to text; they run
-    in Python batches. A known kind without a handler gives an error row. An
-    unknown kind tries the handlers in order and then plain text.
+    in Python batches, each file once. A known kind without a handler gives an
+    error row. An unknown kind tries the handlers in order and then plain text.
     """
     handlers = dict(handlers or {})
     kind = extension(F.col("filename"))
-    plain = kind.isin(TEXT_EXTENSIONS)
-    binary = kind.isin([e for e in ALLOWED_EXTENSIONS if e not in TEXT_EXTENSIONS])
-    no_error = F.lit(None).cast("string")
     files = files.select("filename", "path", "content", kind.alias("kind"))
-    decoded = decode_text(F.col("content"))
-    if not handlers:
-        return files.select(
-            "filename",
-            "path",
-            F.when(~binary, decoded).alias("text"),
-            F.when(binary, F.concat(F.lit("no handler for "), F.col("kind"))).alias("error"),
-        )
-    as_text = files.filter(plain).select(
-        "filename", "path", decoded.alias("text"), no_error.alias("error")
-    )
-    handled = binary & F.col("kind").isin(list(handlers))
-    unknown = ~plain & ~binary
-    by_handler = files.filter(handled | unknown).mapInPandas(
-        _run_handlers(handlers), "filename string, path string, text string, error string"
-    )
-    unread = by_handler.filter(F.col("text").isNull() & F.col("error").isNull()).select("path")
-    fallback = (
-        files.filter(unknown)
-        .join(unread, "path", "left_semi")
-        .select("filename", "path", decoded.alias("text"), no_error.alias("error"))
-    )
-    refused = files.filter(binary & ~F.col("kind").isin(list(handlers))).select(
+    plain = F.col("kind").isin(TEXT_EXTENSIONS)
+    binary = F.col("kind").isin([e for e in ALLOWED_EXTENSIONS if e not in TEXT_EXTENSIONS])
+    refused = binary & ~F.col("kind").isin(list(handlers)) if handlers else binary
+    direct = files.select(
         "filename",
         "path",
-        no_error.alias("text"),
-        F.concat(F.lit("no handler for "), F.col("kind")).alias("error"),
+        F.when(~refused, decode_text(F.col("content"))).alias("text"),
+        F.when(refused, F.concat(F.lit("no handler for "), F.col("kind"))).alias("error"),
+        "kind",
+    )
+    if not handlers:
+        return direct.drop("kind")
+    by_built_in = plain | refused
+    handled = files.filter(~by_built_in).mapInPandas(
+        _run_handlers(handlers),
+        "filename string, path string, text string, error string, content binary",
     )
-    read = by_handler.filter(F.col("text").isNotNull() | F.col("error").isNotNull())
-    return as_text.unionByName(read).unionByName(fallback).unionByName(refused)
+    left_over = F.when(F.col("content").isNotNull(), decode_text(F.col("content")))
+    handled = handled.select("filename", "path", F.coalesce("text", left_over).alias("text"), "error")
+    return direct.filter(by_built_in).drop("kind").unionByName(handled)
