@@ -42,10 +42,10 @@ def class_counts(df: DataFrame, category: str) -> dict:
 
 
 def class_term_sums(features: DataFrame, category: str, classes: list) -> DataFrame:
-    """``(term, sums array<double>)``: TF-IDF weight per class, combined map-side."""
+    """``(idx, sums array<double>)``: TF-IDF weight per class, combined map-side."""
     rows = X.long_weights(features.select(category, "features"))
     of_class = [F.sum(F.when(F.col(category) == F.lit(c), F.col("weight")).otherwise(0.0)) for c in classes]
-    return rows.groupBy("term").agg(F.array(*of_class).alias("sums"))
+    return rows.groupBy("idx").agg(F.array(*of_class).alias("sums"))
 
 
 def smoothed_weights(sums: DataFrame, classes: list, alpha: float) -> DataFrame:
@@ -79,7 +79,7 @@ def fit_naive_bayes(
     features = X.transform(terms, vocabulary, row_id, config)
     zeros = F.array(*[F.lit(0.0) for _ in classes])
     seen = class_term_sums(features, category, classes)
-    sums = vocabulary.select("term", "idf").join(seen, "term", "left")
+    sums = vocabulary.select("idx", "term", "idf").join(seen, "idx", "left")
     sums = materialize(sums.withColumn("sums", F.coalesce("sums", zeros)), "class-terms")
     return NaiveBayes(classes, priors, smoothed_weights(sums, classes, alpha), config)
 
@@ -101,15 +101,15 @@ def naive_bayes_grid(
     k, places = len(classes), range(len(classes))
     rows = X.long_weights(features.select(category, "fold", "features"))
     of_class = [F.sum(F.when(F.col(category) == F.lit(c), F.col("weight")).otherwise(0.0)) for c in classes]
-    parts = materialize(rows.groupBy("term", "fold").agg(F.array(*of_class).alias("part")), "fold-sums")
-    whole = parts.groupBy("term").agg(F.array(*[F.sum(F.col("part")[i]) for i in places]).alias("whole"))
+    parts = materialize(rows.groupBy("idx", "fold").agg(F.array(*of_class).alias("part")), "fold-sums")
+    whole = parts.groupBy("idx").agg(F.array(*[F.sum(F.col("part")[i]) for i in places]).alias("whole"))
     every = F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold")
     rest = F.zip_with(
         "whole",
         F.coalesce("part", F.array(*[F.lit(0.0) for _ in places])),
         lambda x, y: F.greatest(x - y, F.lit(0.0)),
     )
-    kept = whole.select("term", "whole", every).join(parts, ["term", "fold"], "left").select("term", "fold", rest.alias("rest"))
+    kept = whole.select("idx", "whole", every).join(parts, ["idx", "fold"], "left").select("idx", "fold", rest.alias("rest"))
     totals = kept.groupBy("fold").agg(
         F.array(*[F.sum(F.col("rest")[i]) for i in places]).alias("total"), F.count(F.lit(1)).alias("terms")
     )
@@ -118,12 +118,12 @@ def naive_bayes_grid(
         for a in alphas
         for i in places
     ]
-    model = kept.join(F.broadcast(totals), "fold").select("term", "fold", F.array(*logs).alias("logs"))
+    model = kept.join(F.broadcast(totals), "fold").select("idx", "fold", F.array(*logs).alias("logs"))
     model = materialize(model, "fold-models")
     side = broadcast_within(model, MAX_BROADCAST_VALUES // (len(alphas) * k))
     summed = (
         features.select(row_id, category, "fold", F.inline_outer("features"))
-        .join(side, ["term", "fold"], "left")
+        .join(side, ["idx", "fold"], "left")
         .groupBy(row_id, category, "fold")
         .agg(*[F.sum(F.col("weight") * F.col("logs")[j]).alias(f"s{j}") for j in range(len(alphas) * k)])
     )

@@ -98,14 +98,15 @@ def weighted_terms(terms: DataFrame, vocabulary: DataFrame, config: TfidfConfig
 
 
 def transform(terms: DataFrame, vocabulary: DataFrame, row_id: str, config: TfidfConfig = STANDARD) -> DataFrame:
-    """``(row_id, ..., features array<struct<idx, term, weight>>)``, unit length.
+    """``(row_id, ..., features array<struct<idx, weight>>)``, unit length.
 
     Documents without a vocabulary term keep an empty array (a zero vector). One
-    shuffle on the document id; a document's terms leave the map side as one row.
+    shuffle on the document id; a document's terms leave the map side as one row
+    of numbers.
     """
     others = [c for c in terms.columns if c not in ("terms", row_id)]
     side = _as_side(vocabulary.select("term", "idx", "idf"), config)
-    entry = F.when(F.col("idx").isNotNull(), F.struct("idx", "term", term_weight(config).alias("raw")))
+    entry = F.when(F.col("idx").isNotNull(), F.struct("idx", term_weight(config).alias("raw")))
     grouped = (
         terms.select(row_id, *others, F.inline_outer("terms"))
         .join(side, "term", "left")
@@ -114,17 +115,22 @@ def transform(terms: DataFrame, vocabulary: DataFrame, row_id: str, config: Tfid
     )
     norm = F.sqrt("square")
     features = F.transform(
-        "entries", lambda e: F.struct(e["idx"].alias("idx"), e["term"].alias("term"), (e["raw"] / norm).alias("weight"))
+        "entries", lambda e: F.struct(e["idx"].alias("idx"), (e["raw"] / norm).alias("weight"))
     )
     return grouped.select(row_id, *others, features.alias("features"))
 
 
 def long_weights(features: DataFrame) -> DataFrame:
-    """``(..., idx, term, weight)``: one row per document and vocabulary term."""
+    """``(..., idx, weight)``: one row per document and vocabulary term."""
     others = [c for c in features.columns if c != "features"]
     return features.select(*others, F.inline("features"))
 
 
+def with_terms(weights: DataFrame, vocabulary: DataFrame, config: TfidfConfig = STANDARD) -> DataFrame:
+    """Add the ``term`` of every ``idx``."""
+    return weights.join(_as_side(vocabulary.select("idx", "term"), config), "idx")
+
+
 def to_vectors(features: DataFrame, size: int) -> DataFrame:
     """Feature arrays as sparse ML vectors.
 

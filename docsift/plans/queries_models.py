@@ -72,15 +72,16 @@ def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(fitted.withColumn("idx", F.col("idx").cast("long")), "idf")
 
 
-def _features(spark: SparkSession, sf: str, config: X.TfidfConfig) -> DataFrame:
+def _features(spark: SparkSession, sf: str, config: X.TfidfConfig) -> tuple[DataFrame, DataFrame]:
     c = corpus(spark, sf)
     fitted = materialize(X.fit_vocabulary(c.train_terms(), config), "vocabulary")
-    return X.transform(c.terms, fitted, "doc_id", config)
+    return X.transform(c.terms, fitted, "doc_id", config), fitted
 
 
 @query("M1", f"WITH {_TRAIN}, {Q.WEIGHTS} SELECT doc_id, term, round(weight, 6) AS weight FROM weights")
 def tfidf_weights(spark: SparkSession, sf: str) -> DataFrame:
-    rows = X.long_weights(_features(spark, sf, X.STANDARD))
+    features, fitted = _features(spark, sf, X.STANDARD)
+    rows = X.with_terms(X.long_weights(features), fitted)
     return rounded(rows.select("doc_id", "term", "weight"), "weight")
 
 
@@ -96,7 +97,7 @@ FROM split LEFT JOIN weights ON weights.doc_id = split.doc_id GROUP BY split.doc
 )
 def small_tfidf_norms(spark: SparkSession, sf: str) -> DataFrame:
     """Documents without a vocabulary term stay, as zero vectors."""
-    rows = _features(spark, sf, X.SMALL)
+    rows, _ = _features(spark, sf, X.SMALL)
     weights = F.transform("features", lambda e: e["weight"])
     square = V.dot(weights, weights)
     return rounded(rows.select("doc_id", F.size("features").cast("long").alias("n_terms"), square.alias("square")), "square")

@@ -23,13 +23,7 @@ def landing_rows(spark: SparkSession, path: str, max_files: int = 1000) -> DataF
 
 
 def landing_files(spark: SparkSession, path: str, max_files: int = 1000, handlers=None) -> DataFrame:
-    """Files of mixed formats as a stream of input rows; the id is a path hash.
-
-    With ``handlers`` the extraction joins rows, so it belongs in ``foreachBatch``;
-    here the built-in decoders are used.
-    """
-    if handlers:
-        raise ValueError("use extract_text with handlers inside foreachBatch")
+    """Files of mixed formats as a stream of input rows; the id is a path hash."""
     schema = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
     files = (
         spark.readStream.format("binaryFile")
@@ -39,7 +33,7 @@ def landing_files(spark: SparkSession, path: str, max_files: int = 1000, handler
         .load(path)
     )
     named = files.withColumn("filename", F.element_at(F.split("path", "/"), -1))
-    texts = extract_text(named)
+    texts = extract_text(named, handlers)
     return texts.select(
         F.xxhash64("path").alias("doc_id"), "filename", "text", F.current_timestamp().alias("received")
     )
