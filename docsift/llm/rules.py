@@ -85,9 +85,7 @@ def _repeated(windows: np.ndarray) -> np.ndarray:
 def read_lines(text: str, hasher: WordHasher) -> Lines:
     n_lines = text.count("\n") + 1
     kinds = np.zeros((n_lines, 8), np.int64)
-    words = np.zeros(n_lines, np.int64)
-    echoes = np.zeros(n_lines, np.int64)  # words equal to the one before
-    hashes, line = [], 0
+    hashes, places, line = [], [], 0
     for piece in cut(text, SPACE):
         points = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)
         kind = np.where(points < len(KINDS), KINDS[np.minimum(points, len(KINDS) - 1)], LETTER)
@@ -97,15 +95,14 @@ def read_lines(text: str, hasher: WordHasher) -> Lines:
         kinds[here] += np.bincount(number * 8 + kind, minlength=rows * 8).reshape(rows, 8)
         solid = kind != BLANK
         starts = np.flatnonzero(solid & ~np.concatenate([[False], solid[:-1]]))
-        words[here] += np.bincount(number[starts], minlength=rows)
         data = np.frombuffer(piece.encode("utf-8", "surrogatepass"), np.uint8)
-        found = hasher.words(data, (data != 32) & ((data < 9) | (data > 13)))
-        at = number[starts]
-        echo = (found[1:] == found[:-1]) & (at[1:] == at[:-1])
-        echoes[here] += np.bincount(at[1:][echo], minlength=rows)
-        hashes.append(found)
+        hashes.append(hasher.words(data, (data != 32) & ((data < 9) | (data > 13))))
+        places.append(line + number[starts])
         line = here.stop - 1
-    found = np.concatenate(hashes)
+    found, place = np.concatenate(hashes), np.concatenate(places)
+    words = np.bincount(place, minlength=n_lines)
+    echo = (found[1:] == found[:-1]) & (place[1:] == place[:-1])
+    echoes = np.bincount(place[1:][echo], minlength=n_lines)
     covered = np.zeros(len(found), bool)
     if len(found) > 3:
         again = _repeated(shingles(found, 3))

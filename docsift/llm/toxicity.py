@@ -79,7 +79,7 @@ def fit(sample: Sample) -> ToxicityModel:
     bags = [(b, y) for b, y in bags if len(b[0])]
     toxic = np.array([y == 1 for _, y in bags], bool)
     if toxic.all() or not toxic.any():
-        return ToxicityModel(None, 0.0, sample.share)
+        return ToxicityModel(None, 0.0, sample.share if sample.rows else 0.0)
     documents = np.zeros(1 << HASH_BITS, np.int64)
     for (_, slots), _ in bags:
         documents[np.unique(slots)] += 1
