@@ -1,12 +1,13 @@
 """From signatures to classes of near-duplicates, without a pass over all pairs of a group.
 
 Equal texts fold into one node. Nodes that share a band of their signatures meet
-in a bucket. Buckets are worked off by centres: every node of a bucket is compared
-with a centre, exactly, on the whole texts. One minus the similarity is a metric,
-so a node close to a centre cannot be linked with a node far from it, and leaves
-the bucket; the others go on with more centres until none is left. No link
-between nodes of a bucket is lost, and a bucket of many near copies costs one
-comparison for each. Classes are the connected components of the links.
+in a bucket. Buckets are worked off by centres: the nodes of a bucket are compared
+with a centre, exactly, on the whole texts, unless they are connected with it
+already. One minus the similarity is a metric, so a node close to a centre cannot
+be linked with a node far from it and leaves the bucket; so does the centre. What
+is not connected goes on with more centres until nothing is left to compare. No
+link that would join two classes is lost, and a bucket of many near copies costs
+a few comparisons for each. Classes are the connected components of the links.
 """
 
 from __future__ import annotations
@@ -70,43 +71,64 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def links(buckets: DataFrame, node_texts: DataFrame, profile: Callable, similarity: Callable, least: float) -> DataFrame:
-    """``(a, b)``: all pairs of nodes that share a bucket and are similar, or are joined through such pairs.
+def _rooted(nodes: DataFrame, roots: DataFrame | None, node: str = "node", root: str = "root") -> DataFrame:
+    """Add the component of a node; a node without links is its own."""
+    if roots is None:
+        return nodes.withColumn(root, F.col(node))
+    named = roots.select(F.col("node").alias(node), F.col("root").alias("found"))
+    return nodes.join(named, node, "left").withColumn(root, F.coalesce("found", node)).drop("found")
 
-    ``buckets`` has ``(key, node)``, two nodes or more for every key.
+
+def _parted(rooted: DataFrame) -> DataFrame:
+    """``(key, largest)``: the largest component of every bucket that holds several."""
+    sizes = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    largest = F.max(F.struct("n", "root"))["root"].alias("largest")
+    return sizes.groupBy("key").agg(largest, F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts")
+
+
+def connecting_links(
+    buckets: DataFrame, node_texts: DataFrame, profile: Callable, similarity: Callable, least: float
+) -> DataFrame:
+    """``(a, b)``: links that connect all nodes which links within buckets connect.
+
+    ``buckets`` has ``(key, node)``. The similarity's complement must be a metric.
     """
-    slack = 1 - least
-    spread, rest, known = 1, buckets, None
+    slack = F.lit(1 - least + 1e-9)
+    spread, known, roots = 1, None, None
+    rest = materialize(_rooted(buckets, roots), "rest")
     while True:
-        part = F.pmod(F.xxhash64("node"), F.lit(spread))
-        centres = rest.groupBy("key", part.alias("part")).agg(F.min("node").alias("centre")).drop("part")
+        # a few centres for each bucket, none from its largest component
+        part = F.pmod(F.xxhash64("node"), F.lit(spread)).alias("part")
+        small = rest.join(_parted(rest), "key").filter("root <> largest")
+        centres = small.groupBy("key", part).agg(F.min(F.struct("node", "root")).alias("c"))
+        centres = centres.select("key", F.col("c.node").alias("centre"), F.col("c.root").alias("centre_root"))
         centres = materialize(centres, "centres")
-        met = materialize(rest.join(centres, "key").filter("node <> centre"), "met")
-        pairs = met.select(*_pair("node", "centre")).distinct()
+        met = rest.join(centres, "key").filter("root <> centre_root").select("key", "node", "centre")
+        met = materialize(met.select("*", *_pair("node", "centre")), "met")
+        pairs = met.select("a", "b").distinct()
         if known is not None:
             pairs = pairs.join(known, ["a", "b"], "left_anti")
         new = materialize(_measured(pairs, node_texts, profile, similarity), "measured")
         known = new if known is None else known.unionAll(new)
-        judged = met.select("*", *_pair("node", "centre")).join(known, ["a", "b"])
-        judged = materialize(judged.select("key", "node", "centre", "far"), "judged")
-        others = judged.groupBy("key", "node").agg(F.min("far").alias("nearest"))
-        others = others.join(centres.withColumnRenamed("centre", "node"), ["key", "node"], "left_anti")
-        others = materialize(others, "others")
-        apart = others.filter(F.col("nearest") > slack).select("key", "node")
-        if apart.isEmpty():
-            break
-        # the distance from each centre to the next node that no centre has taken
-        gap = judged.join(apart, ["key", "node"]).groupBy("key", "centre").agg(F.min("far").alias("gap"))
-        taken = judged.join(others.filter(F.col("nearest") <= slack).select("key", "node"), ["key", "node"])
-        done = F.max((F.col("far") < F.col("gap") - F.lit(slack + 1e-9)).cast("int"))
-        still = taken.join(gap, ["key", "centre"]).groupBy("key", "node").agg(done.alias("done"))
-        open_ = materialize(apart.unionAll(still.filter("done = 0").select("key", "node")), "open")
-        many = open_.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-        rest = materialize(open_.join(many, "key"), "rest")
+        found = known.filter(F.col("far") <= slack).select("a", "b")
+        roots = components(found)
+        # centres have met all others of their bucket and leave it
+        used = centres.select("key", F.col("centre").alias("node"))
+        rest = _rooted(rest.select("key", "node").join(used, ["key", "node"], "left_anti"), roots)
+        rest = materialize(rest.join(_parted(rest).select("key"), "key"), "rest")
+        if rest.isEmpty():
+            return found
+        judged = met.join(known, ["a", "b"]).select("key", "node", "centre", "far").join(rest, ["key", "node"])
+        judged = materialize(_rooted(judged, roots, "centre", "centre_root"), "judged")
+        # the distance from each centre to the next node that is not connected with it
+        gaps = judged.filter("root <> centre_root").groupBy("key", "centre").agg(F.min("far").alias("gap"))
+        near = judged.filter("root = centre_root").join(gaps, ["key", "centre"])
+        done = near.filter(F.col("far") < F.col("gap") - slack).select("key", "node").distinct()
+        rest = rest.join(done, ["key", "node"], "left_anti")
+        rest = materialize(rest.join(_parted(rest).select("key"), "key"), "rest")
         if rest.isEmpty():
-            break
+            return found
         spread *= MORE_CENTRES
-    return known.filter(F.col("far") <= F.lit(slack + 1e-9)).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -118,18 +140,18 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     edges = materialize(edges.filter("u <> v").distinct(), "edges")
+    mark = _mark(edges)
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m"))
-        low = low.select("u", F.least("u", "m").alias("m"))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = materialize(large.distinct(), "larger")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        following = materialize(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        if _mark(following) == _mark(edges):
-            return following.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        edges = following
+        edges = materialize(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        before, mark = mark, _mark(edges)
+        if mark == before:
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -166,7 +188,7 @@ def near_classes(
     same = (F.col("id") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("first"))
     node_texts = of_text.join(wanted, same).dropDuplicates(["id", "doc_id"]).select("node", "text")
     node_texts = materialize(node_texts, "texts")
-    found = components(links(buckets, node_texts, profile, similarity, least))
+    found = components(connecting_links(buckets, node_texts, profile, similarity, least))
     rooted = nodes.select("node", "first").join(found, "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node"))
     firsts = rooted.groupBy("root").agg(F.min(F.struct(F.col("first").isNull(), "first", "node")).alias("least"))

@@ -110,7 +110,7 @@ def test_no_link_of_a_large_bucket_is_lost(spark):
     nodes = {f"{p:07.3f}".encode(): p for p in points}
     buckets = spark.createDataFrame([(1, bytearray(n)) for n in nodes], "key long, node binary")
     texts = spark.createDataFrame([(bytearray(n), str(p)) for n, p in nodes.items()], "node binary, text string")
-    found = linking.links(buckets, texts, lambda: float, lambda x, y: 1 - min(1.0, abs(x - y)), 0.8)
+    found = linking.connecting_links(buckets, texts, lambda: float, lambda x, y: 1 - min(1.0, abs(x - y)), 0.8)
     roots = {bytes(r["node"]): bytes(r["root"]) for r in linking.components(found).collect()}
     want, root = {}, None
     for before, p in zip([None, *points], points, strict=False):
