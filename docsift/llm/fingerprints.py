@@ -96,10 +96,11 @@ def near_duplicates(
     def sign():
         make = Fingerprinter()
 
-        def bands_of(text: str) -> np.ndarray:
-            print_ = make.signature(text)
-            empty = (print_ == np.iinfo(np.uint32).max).all()
-            return np.zeros(0, np.int64) if empty else band_keys(print_.astype(np.uint64), BANDS)
+        def bands_of(text: str) -> tuple[np.ndarray, bytes]:
+            print_ = make.signature(text).astype(np.uint64)
+            if (print_ == np.iinfo(np.uint32).max).all():
+                return np.zeros(0, np.int64), b""
+            return band_keys(print_, BANDS), print_.astype(np.uint8).tobytes()
 
         return bands_of
 
@@ -107,7 +108,8 @@ def near_duplicates(
         make = Fingerprinter()
         return lambda text: np.unique(make.shingles(text))
 
-    return near_classes(documents, sign, profile, jaccard, least, id_col, text_col)
+    shape = (BANDS, PERMUTATIONS // BANDS)
+    return near_classes(documents, sign, profile, jaccard, shape, least, id_col, text_col)
 
 
 def jaccard(x: np.ndarray, y: np.ndarray) -> float:

@@ -1,13 +1,13 @@
 """From signatures to classes of near-duplicates, without a pass over all pairs of a group.
 
 Equal texts fold into one node. Nodes that share a band of their signatures meet
-in a bucket. Buckets are worked off by centres: the nodes of a bucket are compared
-with a centre, exactly, on the whole texts, unless they are connected with it
-already. One minus the similarity is a metric, so a node close to a centre cannot
-be linked with a node far from it and leaves the bucket; so does the centre. What
-is not connected goes on with more centres until nothing is left to compare. No
-link that would join two classes is lost, and a bucket of many near copies costs
-a few comparisons for each. Classes are the connected components of the links.
+in a bucket. The node that sees most others in its buckets is the centre of each:
+every node is compared with its centres, exactly, on the whole texts, which joins
+most copies at a cost of a few comparisons each. In the buckets that still hold
+several components, what lies outside the largest one is compared with the rest by
+signatures, in blocks of a fixed size inside a task; only pairs whose signatures
+agree nearly as often as the wanted similarity go on to the exact comparison.
+No bucket is capped or left out. Classes are the connected components of the links.
 """
 
 from __future__ import annotations
@@ -23,8 +23,12 @@ from pyspark.sql import functions as F
 from docsift.llm.common import free_name, text_or_empty, texts
 from docsift.sources.store import materialize
 
-#: Factor by which the centres of a bucket grow from round to round.
-MORE_CENTRES = 8
+#: Nodes of a bucket in a block.
+BLOCK = 1_024
+#: Standard deviations by which the agreement of signatures may lie below the wanted similarity:
+#: a pair just at that similarity is passed over in 2 of 10,000 cases.
+DEVIATIONS = 3.6
+NODE_BYTES = 16
 
 
 def text_node(text_col: str) -> Column:
@@ -33,9 +37,9 @@ def text_node(text_col: str) -> Column:
 
 
 def signed(
-    documents: DataFrame, sign: Callable[[], Callable[[str], np.ndarray]], id_col: str, text_col: str
+    documents: DataFrame, sign: Callable[[], Callable[[str], tuple]], id_col: str, text_col: str
 ) -> DataFrame:
-    """``(doc_id, node, bands)``: the band keys of every whole text, in one Arrow pass."""
+    """``(doc_id, node, bands, sketch)`` of every whole text, in one Arrow pass."""
     rows = documents.select(
         F.col(id_col).alias("doc_id"), text_node(text_col).alias("node"), F.col(text_col).alias("text")
     )
@@ -44,11 +48,12 @@ def signed(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands_of = sign()
         for batch in batches:
-            bands = pa.array([bands_of(t) for t in texts(batch, "text")], pa.list_(pa.int64()))
-            out = [batch.column("doc_id"), batch.column("node"), bands]
-            yield pa.RecordBatch.from_arrays(out, ["doc_id", "node", "bands"])
+            found = [bands_of(t) for t in texts(batch, "text")]
+            bands = pa.array([f[0] for f in found], pa.list_(pa.int64()))
+            out = [batch.column("doc_id"), batch.column("node"), bands, pa.array([f[1] for f in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays(out, ["doc_id", "node", "bands", "sketch"])
 
-    return rows.mapInArrow(run, f"doc_id {id_type}, node binary, bands array<bigint>")
+    return rows.mapInArrow(run, f"doc_id {id_type}, node binary, bands array<bigint>, sketch binary")
 
 
 def _measured(pairs: DataFrame, node_texts: DataFrame, profile: Callable, similarity: Callable) -> DataFrame:
@@ -67,68 +72,85 @@ def _measured(pairs: DataFrame, node_texts: DataFrame, profile: Callable, simila
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary, far double")
 
 
-def _pair(x: str, y: str) -> list[Column]:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-
-
-def _rooted(nodes: DataFrame, roots: DataFrame | None, node: str = "node", root: str = "root") -> DataFrame:
-    """Add the component of a node; a node without links is its own."""
-    if roots is None:
-        return nodes.withColumn(root, F.col(node))
-    named = roots.select(F.col("node").alias(node), F.col("root").alias("found"))
-    return nodes.join(named, node, "left").withColumn(root, F.coalesce("found", node)).drop("found")
-
-
 def _parted(rooted: DataFrame) -> DataFrame:
-    """``(key, largest)``: the largest component of every bucket that holds several."""
+    """``(key, largest, n)``: largest component and nodes of every bucket that holds several components."""
     sizes = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     largest = F.max(F.struct("n", "root"))["root"].alias("largest")
-    return sizes.groupBy("key").agg(largest, F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts")
+    sizes = sizes.groupBy("key").agg(largest, F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"))
+    return sizes.filter("parts > 1").drop("parts")
 
 
-def connecting_links(
-    buckets: DataFrame, node_texts: DataFrame, profile: Callable, similarity: Callable, least: float
+def _agreeing(rooted: DataFrame, sketches: DataFrame, bands: int, width: int, least: float) -> DataFrame:
+    """``(a, b)``: pairs of a bucket in different components whose signatures agree often enough.
+
+    Sketches hold one byte for each component of a signature, those of the bands
+    first. A pair that shares several bands is given out in the first of them.
+    """
+    rows = rooted.join(_parted(rooted), "key").join(sketches, "node")
+    rows = rows.select(
+        "key",
+        "band",
+        F.concat("node", "root", "sketch").alias("packed"),
+        (F.col("root") != F.col("largest")).alias("outside"),
+        F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block"),
+    )
+    inside = rows.groupBy("key", "band", "block").agg(F.collect_list("packed").alias("others"))
+    outside = rows.filter("outside").groupBy("key", F.col("block").alias("outer"))
+    met = outside.agg(F.collect_list("packed").alias("asked")).join(inside, "key").select("band", "asked", "others")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def unpack(packed: list[bytes]):
+            table = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1)
+            return [p[:NODE_BYTES] for p in packed], [p[NODE_BYTES : 2 * NODE_BYTES] for p in packed], table[:, 2 * NODE_BYTES :]
+
+        for batch in batches:
+            a, b = [], []
+            for row in range(batch.num_rows):
+                band, asked, others = (batch.column(c)[row].as_py() for c in ("band", "asked", "others"))
+                nodes, roots, table = unpack(others)
+                asked_nodes, asked_roots, asked_table = unpack(asked)
+                outer = set(asked_nodes)
+                wanted = (least - DEVIATIONS * (least * (1 - least) / table.shape[1]) ** 0.5) * table.shape[1]
+                for node, root, sketch in zip(asked_nodes, asked_roots, asked_table, strict=True):
+                    equal = table == sketch
+                    for i in np.flatnonzero(equal.sum(axis=1) >= wanted).tolist():
+                        if roots[i] == root or (nodes[i] in outer and nodes[i] < node):
+                            continue
+                        shared = equal[i, : bands * width].reshape(bands, width).all(axis=1)
+                        if int(shared.argmax()) == band:
+                            a.append(min(node, nodes[i]))
+                            b.append(max(node, nodes[i]))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    return met.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def links(
+    buckets: DataFrame,
+    nodes: DataFrame,
+    node_texts: DataFrame,
+    profile: Callable,
+    similarity: Callable,
+    shape: tuple[int, int],
+    least: float,
 ) -> DataFrame:
     """``(a, b)``: links that connect all nodes which links within buckets connect.
 
-    ``buckets`` has ``(key, node)``. The similarity's complement must be a metric.
+    ``buckets`` has ``(key, band, node, n)`` with the number of nodes of the bucket.
     """
-    slack = F.lit(1 - least + 1e-9)
-    spread, known, roots = 1, None, None
-    rest = materialize(_rooted(buckets, roots), "rest")
-    while True:
-        # a few centres for each bucket, none from its largest component
-        part = F.pmod(F.xxhash64("node"), F.lit(spread)).alias("part")
-        small = rest.join(_parted(rest), "key").filter("root <> largest")
-        centres = small.groupBy("key", part).agg(F.min(F.struct("node", "root")).alias("c"))
-        centres = centres.select("key", F.col("c.node").alias("centre"), F.col("c.root").alias("centre_root"))
-        centres = materialize(centres, "centres")
-        met = rest.join(centres, "key").filter("root <> centre_root").select("key", "node", "centre")
-        met = materialize(met.select("*", *_pair("node", "centre")), "met")
-        pairs = met.select("a", "b").distinct()
-        if known is not None:
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        new = materialize(_measured(pairs, node_texts, profile, similarity), "measured")
-        known = new if known is None else known.unionAll(new)
-        found = known.filter(F.col("far") <= slack).select("a", "b")
-        roots = components(found)
-        # centres have met all others of their bucket and leave it
-        used = centres.select("key", F.col("centre").alias("node"))
-        rest = _rooted(rest.select("key", "node").join(used, ["key", "node"], "left_anti"), roots)
-        rest = materialize(rest.join(_parted(rest).select("key"), "key"), "rest")
-        if rest.isEmpty():
-            return found
-        judged = met.join(known, ["a", "b"]).select("key", "node", "centre", "far").join(rest, ["key", "node"])
-        judged = materialize(_rooted(judged, roots, "centre", "centre_root"), "judged")
-        # the distance from each centre to the next node that is not connected with it
-        gaps = judged.filter("root <> centre_root").groupBy("key", "centre").agg(F.min("far").alias("gap"))
-        near = judged.filter("root = centre_root").join(gaps, ["key", "centre"])
-        done = near.filter(F.col("far") < F.col("gap") - slack).select("key", "node").distinct()
-        rest = rest.join(done, ["key", "node"], "left_anti")
-        rest = materialize(rest.join(_parted(rest).select("key"), "key"), "rest")
-        if rest.isEmpty():
-            return found
-        spread *= MORE_CENTRES
+    near = F.col("far") <= F.lit(1 - least + 1e-9)
+    seen = buckets.groupBy("node").agg(F.sum("n").alias("seen"))
+    ranked = materialize(buckets.join(seen, "node"), "ranked")
+    centres = ranked.groupBy("key").agg(F.max(F.struct("seen", "node"))["node"].alias("centre"))
+    met = ranked.join(centres, "key").filter("node <> centre")
+    pairs = met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    first = materialize(_measured(pairs, node_texts, profile, similarity), "measured")
+    roots = components(first.filter(near))
+    rooted = ranked.select("key", "band", "node").join(roots, "node", "left")
+    rooted = materialize(rooted.withColumn("root", F.coalesce("root", "node")), "rooted")
+    pairs = _agreeing(rooted, nodes.select("node", "sketch"), *shape, least).join(first, ["a", "b"], "left_anti")
+    second = materialize(_measured(pairs, node_texts, profile, similarity), "measured")
+    return first.unionAll(second).filter(near).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -161,9 +183,10 @@ def _mark(edges: DataFrame) -> tuple:
 
 def near_classes(
     documents: DataFrame,
-    sign: Callable[[], Callable[[str], np.ndarray]],
+    sign: Callable[[], Callable[[str], tuple]],
     profile: Callable[[], Callable],
     similarity: Callable,
+    shape: tuple[int, int],
     least: float,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -171,15 +194,15 @@ def near_classes(
     """``(doc_id, node, class_id, first_node)`` of every document.
 
     ``class_id`` is the smallest id of the class, ``first_node`` the text it
-    stands for. ``sign`` and ``profile`` make the functions from text to band
-    keys and to what ``similarity`` compares.
+    stands for. ``sign`` and ``profile`` make the functions from text to band keys
+    with a sketch, and to what ``similarity`` compares; ``shape`` is the number of
+    bands and their width.
     """
     members = materialize(signed(documents, sign, id_col, text_col), "signed")
-    nodes = materialize(
-        members.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands")), "nodes"
-    )
-    buckets = nodes.select("node", F.explode("bands").alias("key"))
-    many = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    one = [F.first(c).alias(c) for c in ("bands", "sketch")]
+    nodes = materialize(members.groupBy("node").agg(F.min("doc_id").alias("first"), *one), "nodes")
+    buckets = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    many = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     buckets = materialize(buckets.join(many, "key"), "buckets")
     wanted = buckets.select("node").distinct().join(nodes.select("node", "first"), "node")
     of_text = documents.select(
@@ -188,7 +211,7 @@ def near_classes(
     same = (F.col("id") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("first"))
     node_texts = of_text.join(wanted, same).dropDuplicates(["id", "doc_id"]).select("node", "text")
     node_texts = materialize(node_texts, "texts")
-    found = components(connecting_links(buckets, node_texts, profile, similarity, least))
+    found = components(links(buckets, nodes, node_texts, profile, similarity, shape, least))
     rooted = nodes.select("node", "first").join(found, "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node"))
     firsts = rooted.groupBy("root").agg(F.min(F.struct(F.col("first").isNull(), "first", "node")).alias("least"))

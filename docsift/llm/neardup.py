@@ -31,6 +31,8 @@ LEAST = 0.8
 #: Bands and components of a band: a pair at 0.8 shares no band in 5 of 100,000 cases.
 BANDS = 25
 WIDTH = 5
+#: Components of a signature; the first ones make up the bands.
+COMPONENTS = 256
 
 
 def weighted_shingles(text: str, hasher: WordHasher, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
@@ -90,16 +92,16 @@ def probability_jaccard(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, n
     return float((cx / (only_x + from_x + ratio * (only_y + below_y))).sum())
 
 
-def _signer(size: int) -> Callable[[], Callable[[str], np.ndarray]]:
+def _signer(size: int) -> Callable[[], Callable[[str], tuple[np.ndarray, bytes]]]:
     def make():
         hasher = WordHasher()
 
-        def bands_of(text: str) -> np.ndarray:
+        def bands_of(text: str) -> tuple[np.ndarray, bytes]:
             elements, weights = weighted_shingles(text, hasher, size)
             if not len(elements):
-                return np.zeros(0, np.int64)
-            with np.errstate(over="ignore"):
-                return band_keys(signature(elements, weights, BANDS * WIDTH))
+                return np.zeros(0, np.int64), b""
+            kept = signature(elements, weights, COMPONENTS)
+            return band_keys(kept[: BANDS * WIDTH]), kept.astype(np.uint8).tobytes()
 
         return bands_of
 
@@ -119,4 +121,5 @@ def near_duplicates(
         hasher = WordHasher()
         return lambda text: weighted_shingles(text, hasher, size)
 
-    return near_classes(documents, _signer(size), profile, probability_jaccard, least, id_col, text_col)
+    shape = (BANDS, WIDTH)
+    return near_classes(documents, _signer(size), profile, probability_jaccard, shape, least, id_col, text_col)

@@ -103,21 +103,21 @@ def test_weighted_similarity_of_repeated_lines():
     assert neardup.probability_jaccard(x, x) == pytest.approx(1)
 
 
-def test_no_link_of_a_large_bucket_is_lost(spark):
-    """One bucket of points on a line: links are distances, most nodes are far apart."""
+@pytest.mark.parametrize("block", [8, linking.BLOCK])
+def test_graded_copies_of_one_text(spark, monkeypatch, block):
+    """Copies with few to many changes: most share buckets, many are no link of the first text."""
+    monkeypatch.setattr(linking, "BLOCK", block)
     rng = random.Random(4)
-    points = sorted({round(rng.random() * 30, 3) for _ in range(120)})
-    nodes = {f"{p:07.3f}".encode(): p for p in points}
-    buckets = spark.createDataFrame([(1, bytearray(n)) for n in nodes], "key long, node binary")
-    texts = spark.createDataFrame([(bytearray(n), str(p)) for n, p in nodes.items()], "node binary, text string")
-    found = linking.connecting_links(buckets, texts, lambda: float, lambda x, y: 1 - min(1.0, abs(x - y)), 0.8)
-    roots = {bytes(r["node"]): bytes(r["root"]) for r in linking.components(found).collect()}
-    want, root = {}, None
-    for before, p in zip([None, *points], points, strict=False):
-        if before is None or p - before > 0.2 + 1e-9:
-            root = p
-        want[p] = root
-    assert {nodes[n]: nodes[roots.get(n, n)] for n in nodes} == want
+    base = [f"b{rng.randrange(10_000)}" for _ in range(120)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 90):
+        copy = list(rng.choice(rows)[1].split()) if i % 3 == 0 else list(base)
+        for _ in range(i % 12):
+            copy[rng.randrange(len(copy))] = f"c{i}x{rng.randrange(10_000)}"
+        rows.append((i, " ".join(copy)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["class_id"]) for r in neardup.near_duplicates(df).collect()), key=str)
+    assert got == classes(rows, naive) and 5 < len({c for _, c in got}) < 80
 
 
 def test_components_of_chains_and_stars(spark):
