@@ -6,6 +6,7 @@ most classes squared rows. ``by`` evaluates many models in one job.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 from docsift.functions import text as T
 
 SCORE_PLACES = 6
-EXACT_PAIRS = 1000
 
 
 def misclassified(df: DataFrame) -> DataFrame:
@@ -274,22 +274,43 @@ def _upper_normal(z: Column) -> Column:
     return series * F.exp(-x * x)
 
 
+def _log_factorial(x: Column) -> Column:
+    """Logarithm of ``x!`` by Stirling's series, ten places further on."""
+    z = x.cast("double") + 11.0
+    series = F.lit(1 / 12) / z - F.lit(1 / 360) / F.pow(z, F.lit(3.0)) + F.lit(1 / 1260) / F.pow(z, F.lit(5.0))
+    far = (z - 0.5) * F.log(z) - z + F.lit(0.5 * math.log(2 * math.pi)) + series
+    for j in range(1, 11):
+        far = far - F.log(x.cast("double") + float(j))
+    return far
+
+
 def _exact_p(b: Column, c: Column) -> Column:
-    """Two-sided binomial test with log terms, so large counts do not underflow."""
+    """Two-sided binomial test: terms from the smaller count downwards, largest first.
+
+    Terms further than twelve roots of ``n`` away are below any double's precision,
+    so the sum is exact while its length grows with the root of the pairs only.
+    """
     n, low = b + c, F.least(b, c)
-    start = F.struct((n * -F.log(F.lit(2.0))).alias("term"), F.lit(0.0).alias("sum"))
+    largest = _log_factorial(n) - _log_factorial(low) - _log_factorial(n - low) - n * math.log(2.0)
+    start = F.struct(largest.alias("term"), F.lit(0.0).alias("sum"))
+    steps = F.least(low, F.ceil(F.sqrt(n.cast("double")) * 12 + 60).cast("long"))
 
     def step(acc: Column, i: Column) -> Column:
-        nxt = acc["term"] + F.log((n - i).cast("double")) - F.log((i + 1).cast("double"))
+        ratio = (low - i).cast("double") / (n - low + i + 1).cast("double")
+        nxt = F.when(ratio > 0, acc["term"] + F.log(ratio)).otherwise(acc["term"])
         return F.struct(nxt.alias("term"), (acc["sum"] + F.exp(acc["term"])).alias("sum"))
 
-    tail = F.aggregate(F.sequence(F.lit(0).cast("long"), low), start, step, lambda acc: acc["sum"])
+    tail = F.aggregate(F.sequence(F.lit(0).cast("long"), steps), start, step, lambda acc: acc["sum"])
     return F.least(F.lit(1.0), tail * 2)
 
 
-def mcnemar(aligned: DataFrame, truth: str = "y_true") -> DataFrame:
-    """Discordant pairs, continuity-corrected statistic and p-value (exact binomial
-    up to a thousand pairs, normal beyond)."""
+def mcnemar(aligned: DataFrame, truth: str = "y_true", method: str = "exact") -> DataFrame:
+    """Discordant pairs, continuity-corrected statistic and p-value.
+
+    ``method`` is ``exact`` (binomial) or ``normal``, at every number of pairs.
+    """
+    if method not in ("exact", "normal"):
+        raise ValueError(f"method is exact or normal, not {method}")
     right_a, right_b = F.col("pred_a") == F.col(truth), F.col("pred_b") == F.col(truth)
     pairs = aligned.agg(
         F.count_if(right_a & ~right_b).alias("b"), F.count_if(~right_a & right_b).alias("c")
@@ -298,8 +319,8 @@ def mcnemar(aligned: DataFrame, truth: str = "y_true") -> DataFrame:
     n = b + c
     edge = F.greatest(F.abs(b - c) - 1, F.lit(0)).cast("double")
     statistic = F.when(n > 0, edge * edge / n).otherwise(0.0)
-    p = F.when(n == 0, 1.0).when(n <= EXACT_PAIRS, _exact_p(b, c)).otherwise(_upper_normal(F.sqrt(statistic)))
-    return pairs.select("b", "c", statistic.alias("statistic"), p.alias("p_value"))
+    found = _exact_p(b, c) if method == "exact" else _upper_normal(F.sqrt(statistic))
+    return pairs.select("b", "c", statistic.alias("statistic"), F.when(n == 0, 1.0).otherwise(found).alias("p_value"))
 
 
 def f1_difference(first: DataFrame, second: DataFrame) -> DataFrame:

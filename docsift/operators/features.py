@@ -31,7 +31,7 @@ class TfidfConfig:
 
 
 STANDARD = TfidfConfig()
-SMALL = TfidfConfig(max_features=5_000)
+SMALL = TfidfConfig(max_features=5_000, min_df=1, max_df=1.0)
 MAX_BROADCAST_TERMS = 1_000_000
 
 

@@ -126,14 +126,14 @@ counts AS MATERIALIZED (SELECT doc_id, category, term, count(*) AS n FROM (
     lambda i: t[i] || ' ' || t[i + 1]))) AS term FROM term_lists) GROUP BY ALL)"""
 
 
-def vocabulary(rows: str, where: str, features: int = 30_000) -> str:
+def vocabulary(rows: str, where: str, features: int = 30_000, min_df: int = 2, max_df: float = 0.95) -> str:
     """Terms of the documents in ``rows`` that satisfy ``where``."""
     return f"""fit_docs AS MATERIALIZED (SELECT doc_id, category FROM {rows} WHERE {where}),
 fit_counts AS MATERIALIZED (SELECT c.* FROM counts c JOIN fit_docs USING (doc_id)),
 vocab AS MATERIALIZED (SELECT term, df, row_number() OVER (ORDER BY term) - 1 AS idx,
   ln((1.0 + (SELECT count(*) FROM fit_docs)) / (1.0 + df)) + 1.0 AS idf FROM (
   SELECT term, count(*) AS df, sum(n) AS tf FROM fit_counts GROUP BY term
-  HAVING count(*) >= 2 AND count(*) <= 0.95 * (SELECT count(*) FROM fit_docs)
+  HAVING count(*) >= {min_df} AND count(*) <= {max_df} * (SELECT count(*) FROM fit_docs)
   ORDER BY tf DESC, term LIMIT {features}))"""
 
 

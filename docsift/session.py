@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,24 +32,12 @@ def local_session(cores: int | str = "*", app: str = "docsift", **conf: str) ->
     return spark
 
 
-_own_folders: dict[str, str] = {}
-
-
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session may go without the setting; it then gets a folder of
-    its own.
-    """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    """The shared folder the cluster names in ``spark.checkpoint.dir``, else its warehouse."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get("spark.sql.warehouse.dir", None)
+    if not folder:
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    application = spark.sparkContext.applicationId
-    if application not in _own_folders:
-        _own_folders[application] = tempfile.mkdtemp(prefix="docsift-")
-    return _own_folders[application]
+    return folder
 
 
 def new_path(spark: SparkSession, name: str) -> str:

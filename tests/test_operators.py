@@ -1,6 +1,7 @@
 import math
 import random
 from collections import Counter
+from fractions import Fraction
 
 from pyspark.sql import functions as F
 
@@ -83,12 +84,19 @@ def test_mcnemar_small_large_and_equal(spark):
     row = E.mcnemar(E.align(first, second, "id")).first()
     exact = 2 * sum(math.comb(12, i) for i in range(3)) / 2**12
     assert (row["b"], row["c"]) == (10, 2) and math.isclose(row["p_value"], exact, rel_tol=1e-9)
-    many = spark.range(3000).select(
-        "id", F.lit("a").alias("y_true"), F.when(F.col("id") < 1600, "a").otherwise("b").alias("pred_a"),
-        F.when(F.col("id") < 1600, "b").otherwise("a").alias("pred_b"),
-    )
-    row = E.mcnemar(many).first()
-    assert math.isclose(row["p_value"], math.erfc(math.sqrt(row["statistic"] / 2)), abs_tol=2e-7)
+    for b, c in ((541, 461), (700, 301), (30_000, 29_600), (1, 0), (5, 5)):
+        many = spark.range(b + c).select(
+            F.lit("a").alias("y_true"), F.when(F.col("id") < b, "a").otherwise("b").alias("pred_a"),
+            F.when(F.col("id") < b, "b").otherwise("a").alias("pred_b"),
+        )
+        tail = sum(Fraction(math.comb(b + c, i), 2 ** (b + c)) for i in range(c + 1)) if b + c < 2000 else None
+        row = E.mcnemar(many).first()
+        if tail is not None:
+            assert math.isclose(row["p_value"], min(1.0, float(2 * tail)), rel_tol=1e-6)
+        row = E.mcnemar(many, method="normal").first()
+        assert math.isclose(row["p_value"], math.erfc(math.sqrt(row["statistic"] / 2)), abs_tol=2e-7)
+    close = E.mcnemar(many.limit(0)).first()
+    assert close["p_value"] == 1.0
 
 
 def test_auc_against_pair_counting(spark):
