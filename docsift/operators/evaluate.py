@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from docsift.functions import text as T
 
-SCORE_PLACES = 6
+#: Score ranges for each factor e of the distance from 0 or 1, and the outermost range.
+SCORE_STEPS = 64
+LAST_RANGE = 100_000
 
 
 def misclassified(df: DataFrame) -> DataFrame:
@@ -202,13 +204,10 @@ def overfitting_gap(epochs: DataFrame, epoch: str, train: str, validation: str)
 
 
 def one_vs_rest(df: DataFrame, classes: Sequence, by: Sequence[str] = ()) -> DataFrame:
-    """``(class, score, pos, neg)`` counts per distinct score at six places."""
+    """``(class, score, pos, neg)`` counts per distinct score, unrounded."""
     names = F.array(*[F.lit(c) for c in classes])
     long = df.select(*by, "y_true", F.posexplode("scores").alias("i", "score")).select(
-        *by,
-        F.get(names, "i").alias("class"),
-        F.round("score", SCORE_PLACES).alias("score"),
-        "y_true",
+        *by, F.get(names, "i").alias("class"), "score", "y_true"
     )
     hit = F.col("y_true") == F.col("class")
     return long.groupBy(*by, "class", "score").agg(
@@ -216,31 +215,52 @@ def one_vs_rest(df: DataFrame, classes: Sequence, by: Sequence[str] = ()) -> Dat
     )
 
 
-def roc_points(df: DataFrame, classes: Sequence, by: Sequence[str] = ()) -> DataFrame:
-    """ROC points per class from score counts.
+def _score_range(score: Column) -> Column:
+    """A range number that never falls as the score rises: steps of the logarithm of
+    the distance from 0 or 1, where confidences crowd. There are under 60,000."""
+    low = F.floor(F.log(score) * SCORE_STEPS)
+    high = F.ceil(F.log(1 - score) * -SCORE_STEPS)
+    end = F.lit(LAST_RANGE)
+    inner = F.when(score < 0.5, low).otherwise(high)
+    return F.when(score <= 0, -end).when(score >= 1, end).otherwise(F.coalesce(inner, -end - 1)).cast("int")
+
+
+def _accumulated(df: DataFrame, classes: Sequence, by: Sequence[str]) -> DataFrame:
+    """Score counts with ``up_*``, the counts at this or a higher score, and ``all_*``.
 
-    Scores are confidences in [0, 1] at six places, so a class has at most about a
-    million distinct scores however many documents there are.
+    Only the totals of the score ranges meet per class; scores are sorted within
+    their range.
     """
-    counts = one_vs_rest(df, classes, by)
+    keys = [*by, "class", "range"]
+    counts = one_vs_rest(df, classes, by).withColumn("range", _score_range(F.col("score")))
     whole = W.partitionBy(*by, "class")
-    upto = whole.orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, 0)
+    higher = whole.orderBy(F.desc("range")).rowsBetween(W.unboundedPreceding, -1)
+    sums = counts.groupBy(*keys).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    totals = sums.select(
+        *keys,
+        *[F.coalesce(F.sum(n).over(higher), F.lit(0)).alias(f"higher_{n}") for n in ("pos", "neg")],
+        *[F.sum(n).over(whole).alias(f"all_{n}") for n in ("pos", "neg")],
+    )
+    within = W.partitionBy(*keys).orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, 0)
+    rows = counts.join(totals, keys)
+    for n in ("pos", "neg"):
+        rows = rows.withColumn(f"up_{n}", F.col(f"higher_{n}") + F.sum(n).over(within))
+    return rows
 
-    def share(name: str) -> Column:
-        return _ratio(F.sum(name).over(upto), F.sum(name).over(whole))
 
-    return counts.select(
-        *by, "class", "score", share("neg").alias("fpr"), share("pos").alias("tpr")
-    )
+def roc_points(df: DataFrame, classes: Sequence, by: Sequence[str] = ()) -> DataFrame:
+    """ROC points per class, one for each distinct score."""
+    rows = _accumulated(df, classes, by)
+    fpr, tpr = (_ratio(F.col(f"up_{n}"), F.col(f"all_{n}")) for n in ("neg", "pos"))
+    return rows.select(*by, "class", "score", fpr.alias("fpr"), tpr.alias("tpr"))
 
 
 def roc_auc(df: DataFrame, classes: Sequence, by: Sequence[str] = ()) -> DataFrame:
-    """Area per class by trapezoids."""
-    order = W.partitionBy(*by, "class").orderBy(F.desc("score"))
-    points = roc_points(df, classes, by)
-    zero = F.lit(0.0)
-    area = (F.col("fpr") - F.lag("fpr", 1, 0.0).over(order)) * (F.col("tpr") + F.lag("tpr", 1, 0.0).over(order)) / 2
-    return points.select(*by, "class", area.alias("a")).groupBy(*by, "class").agg(F.sum(F.coalesce("a", zero)).alias("auc"))
+    """Area per class by trapezoids; zero where a class or its rest has no row."""
+    rows = _accumulated(df, classes, by)
+    width = _ratio(F.col("neg"), F.col("all_neg"))
+    height = _ratio(F.col("up_pos") * 2 - F.col("pos"), F.col("all_pos") * 2)
+    return rows.select(*by, "class", (width * height).alias("a")).groupBy(*by, "class").agg(F.sum("a").alias("auc"))
 
 
 def macro_auc(df: DataFrame, classes: Sequence, by: Sequence[str] = ()) -> DataFrame:

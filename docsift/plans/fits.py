@@ -79,7 +79,7 @@ def logistic_regression(n: int, c: float = 1.0, max_iter: int = 1000) -> Logisti
     )
 
 
-def linear_svm(n: int, c: float = 1.0, max_iter: int = 100, parallelism: int = 4) -> OneVsRest:
+def linear_svm(n: int, c: float = 1.0, max_iter: int = 2000, parallelism: int = 4) -> OneVsRest:
     svc = LinearSVC(standardization=False, regParam=1.0 / (c * n), maxIter=max_iter, tol=TOLERANCE)
     return OneVsRest(classifier=svc, weightCol="weight", parallelism=parallelism)
 
@@ -173,11 +173,11 @@ def naive_bayes_fold_predictions(
     return fold_predictions(fit, terms, folds)
 
 
-def platt_scaling(margins: DataFrame, by: Sequence[str], steps: int = 30, tolerance: float = 1e-6) -> pd.DataFrame:
+def platt_scaling(margins: DataFrame, by: Sequence[str], steps: int = 100, tolerance: float = 1e-6) -> pd.DataFrame:
     """Sigmoid parameters ``a, b`` per group for rows ``(*by, margin, positive)``.
 
     Newton's method for all groups together: each step is one grouped sum, and the
-    driver holds one row per group. Targets are smoothed by the group's counts.
+    driver holds one row per group; it is an error not to settle. Targets are smoothed by the group's counts.
     """
     counts = margins.groupBy(*by).agg(
         F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg")
@@ -210,8 +210,8 @@ def platt_scaling(margins: DataFrame, by: Sequence[str], steps: int = 30, tolera
         db = -(haa * merged["gb"] - merged["hab"] * merged["ga"]) / det
         state = merged[[*by, "pos", "neg"]].assign(a=merged["a"] + da, b=merged["b"] + db)
         if max(da.abs().max(), db.abs().max()) < tolerance:
-            break
-    return state
+            return state
+    raise RuntimeError(f"the sigmoids have not settled after {steps} steps")
 
 
 @dataclass
@@ -229,7 +229,7 @@ def _margins(model: Model, rows: DataFrame) -> DataFrame:
 
 
 def fit_calibrated_svm(
-    train: TrainingSet, c: float = 1.0, folds: int = 5, max_iter: int = 100, parallelism: int = 5
+    train: TrainingSet, c: float = 1.0, folds: int = 5, max_iter: int = 2000, parallelism: int = 5
 ) -> CalibratedSvm:
     """Folds are independent, so their fits are submitted side by side."""
 

@@ -22,6 +22,7 @@ from docsift.plans.registry import (
     documents,
     label_classes,
     label_predictions,
+    label_test_predictions,
     naive_bayes,
     naive_bayes_predictions,
     once,
@@ -198,29 +199,31 @@ def predicted_class_index(spark: SparkSession, sf: str) -> DataFrame:
 # --- evaluation -----------------------------------------------------------------
 
 
-@query("A16", f"WITH {Q.NEAR_LABEL} SELECT round(avg(CASE WHEN y_true = y_pred THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM near")
+@query("A16", f"WITH {Q.NEAR_LABEL} SELECT round(avg(CASE WHEN y_true = y_pred THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM near_test")
 def accuracy(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(E.accuracy(label_predictions(spark, sf)), "accuracy")
+    return rounded(E.accuracy(label_test_predictions(spark, sf)), "accuracy")
 
 
 @query(
     "A15",
-    f"""WITH {Q.NEAR_LABEL}, labels_seen AS (SELECT DISTINCT y FROM (SELECT y_true AS y FROM near UNION ALL SELECT y_pred FROM near)),
+    f"""WITH {Q.NEAR_LABEL}, labels_seen AS (SELECT DISTINCT y FROM (SELECT y_true AS y FROM near_test UNION ALL SELECT y_pred FROM near_test)),
 g AS (SELECT a.y AS y_true, b.y AS y_pred FROM labels_seen a CROSS JOIN labels_seen b),
-c AS (SELECT y_true, y_pred, count(*) AS n FROM near GROUP BY ALL)
+c AS (SELECT y_true, y_pred, count(*) AS n FROM near_test GROUP BY ALL)
 SELECT y_true, y_pred, coalesce(n, 0) AS n, round(coalesce(n, 0) / sum(coalesce(n, 0)) OVER (PARTITION BY y_true), 6) AS rate
 FROM g LEFT JOIN c USING (y_true, y_pred)""",
 )
 def confusion_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(E.confusion_matrix(label_predictions(spark, sf)), "rate")
+    return rounded(E.confusion_matrix(label_test_predictions(spark, sf)), "rate")
 
 
-_METRICS = f"{Q.NEAR_LABEL}, {Q.class_metrics('near')}"
+#: A split of the usable documents, then the vector model.
+_VECTOR = f"{Q.USABLE},\n{Q.ranked('usable', 'lang')},\n{Q.NEAR_LANG}"
+_METRICS = f"{Q.NEAR_LABEL}, {Q.class_metrics('near_test')}"
 
 
 @query("A17", f"WITH {_METRICS} SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM per_class")
 def class_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(E.class_metrics(label_predictions(spark, sf)).drop("hits"), "precision", "recall", "f1")
+    return rounded(E.class_metrics(label_test_predictions(spark, sf)).drop("hits"), "precision", "recall", "f1")
 
 
 _SCORES = ["accuracy", "precision_macro", "precision_weighted", "recall_macro", "recall_weighted", "f1_macro", "f1_weighted"]
@@ -229,7 +232,7 @@ _ROUNDED = ", ".join(f"round({s}, 6) AS {s}" for s in _SCORES)
 
 @query("A18 A20", f"WITH {_METRICS} SELECT {_ROUNDED}, num_test_samples FROM ({Q.averages()})")
 def metrics_row(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(E.averages(E.class_metrics(label_predictions(spark, sf))), *_SCORES)
+    return rounded(E.averages(E.class_metrics(label_test_predictions(spark, sf))), *_SCORES)
 
 
 @query(
@@ -241,61 +244,42 @@ UNION ALL SELECT 'weighted avg', precision_weighted, recall_weighted, f1_weighte
 SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, round(support, 6) AS support FROM r""",
 )
 def classification_report(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(E.classification_report(label_predictions(spark, sf)), "precision", "recall", "f1", "support")
+    return rounded(E.classification_report(label_test_predictions(spark, sf)), "precision", "recall", "f1", "support")
 
 
-@query("P11", f"WITH {Q.NEAR_LANG} SELECT doc_id, y_true, y_pred FROM near WHERE y_true <> y_pred")
+def _vector_test(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions of the vector model on the test documents."""
+    return S.take_test(vector_predictions(spark, sf), corpus(spark, sf).split, "doc_id")
+
+
+@query("P11", f"WITH {_VECTOR} SELECT doc_id, y_true, y_pred FROM near_test WHERE y_true <> y_pred")
 def misclassified_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return E.misclassified(vector_predictions(spark, sf)).select("doc_id", "y_true", "y_pred")
+    return E.misclassified(_vector_test(spark, sf)).select("doc_id", "y_true", "y_pred")
 
 
-@query("A21", f"WITH {Q.NEAR_LABEL} SELECT y_true, y_pred, count(*) AS n FROM near WHERE y_true <> y_pred GROUP BY ALL ORDER BY n DESC, y_true, y_pred LIMIT 5")
+@query("A21", f"WITH {Q.NEAR_LABEL} SELECT y_true, y_pred, count(*) AS n FROM near_test WHERE y_true <> y_pred GROUP BY ALL ORDER BY n DESC, y_true, y_pred LIMIT 5")
 def top_confusions(spark: SparkSession, sf: str) -> DataFrame:
-    return E.top_confusions(label_predictions(spark, sf))
+    return E.top_confusions(label_test_predictions(spark, sf))
 
 
 @query(
     "W5",
-    f"""WITH {Q.NEAR_LANG}, wrong AS (SELECT doc_id, y_true, y_pred FROM near WHERE y_true <> y_pred ORDER BY doc_id LIMIT 3)
+    f"""WITH {_VECTOR}, wrong AS (SELECT doc_id, y_true, y_pred FROM near_test WHERE y_true <> y_pred ORDER BY doc_id LIMIT 3)
 SELECT doc_id, y_true, y_pred, {Q.masked('left(text, 200)')} || '...' AS example FROM wrong JOIN documents USING (doc_id)""",
 )
 def misclassified_examples(spark: SparkSession, sf: str) -> DataFrame:
     """The three wrong rows are chosen first; only these meet their text."""
-    wrong = E.misclassified(vector_predictions(spark, sf)).orderBy("doc_id").limit(3)
+    wrong = E.misclassified(_vector_test(spark, sf)).orderBy("doc_id").limit(3)
     texts = table(spark, sf, "documents").select("doc_id", "text")
     return E.misclassified_examples(texts.join(F.broadcast(wrong), "doc_id"), "doc_id", "text")
 
 
-_FOLDS = f"""{Q.NEAR_LANG}, {Q.ranked('documents', 'lang')},
-fold_rows AS (SELECT y_true, y_pred, fold FROM near JOIN split USING (doc_id)),
-sides AS (SELECT fold, y_true AS class, 1 AS t, 0 AS p, CASE WHEN y_true = y_pred THEN 1 ELSE 0 END AS h FROM fold_rows
-  UNION ALL SELECT fold, y_pred, 0, 1, 0 FROM fold_rows),
-fold_f1 AS (SELECT fold, avg(f1) AS f1_macro FROM (
-  SELECT fold, class, 2.0 * sum(h) / (sum(t) + sum(p)) AS f1 FROM sides GROUP BY ALL) GROUP BY fold)"""
-
-
-def _fold_scores(spark: SparkSession, sf: str) -> DataFrame:
-    folds = S.stratified_folds(documents(spark, sf, "lang"), "doc_id", "lang").select("doc_id", "fold")
-    return FT.fold_scores(vector_predictions(spark, sf).join(folds, "doc_id"))
-
-
-@query("M10", f"WITH {_FOLDS} SELECT fold, round(f1_macro, 6) AS f1_macro FROM fold_f1")
-def fold_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_fold_scores(spark, sf), "f1_macro")
-
-
-@query("A22", f"WITH {_FOLDS} SELECT round(avg(f1_macro), 6) AS cv_mean, round(stddev_pop(f1_macro), 6) AS cv_std FROM fold_f1")
-def cv_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(E.cv_summary(_fold_scores(spark, sf), "f1_macro"), "cv_mean", "cv_std")
-
-
 def _both(spark: SparkSession, sf: str) -> DataFrame:
     """Both models' predictions of the same test documents, with a model column."""
     c = corpus(spark, sf)
     text = S.take_test(naive_bayes_predictions(spark, sf), c.split, "doc_id")
     text = text.select(F.lit("text").alias("model"), "y_true", "y_pred")
-    vector = S.take_test(vector_predictions(spark, sf), c.split, "doc_id")
-    vector = vector.select(F.lit("vector").alias("model"), "y_true", "y_pred")
+    vector = _vector_test(spark, sf).select(F.lit("vector").alias("model"), "y_true", "y_pred")
     return text.unionByName(vector)
 
 
@@ -415,34 +399,35 @@ def mcnemar_text_and_vector(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "A28",
     f"""WITH {Q.NEAR_LABEL}, aligned AS (SELECT vec_id, y_true, y_pred AS pred_a, (
-  SELECT arg_max(s.k, (s.score, -s.k)) FROM near_scores s WHERE s.vec_id = near.vec_id AND s.k <> 0) AS pred_b FROM near), {_MCNEMAR}""",
+  SELECT arg_max(s.k, (s.score, -s.k)) FROM near_scores s WHERE s.vec_id = near_test.vec_id AND s.k <> 0) AS pred_b FROM near_test), {_MCNEMAR}""",
 )
 def mcnemar_without_first_class(spark: SparkSession, sf: str) -> DataFrame:
     """The vector model against itself with the first class taken away."""
-    rows = label_predictions(spark, sf)
+    rows = label_test_predictions(spark, sf)
     rest = F.slice("scores", 2, F.size("scores") - 1)
     names = C.class_array(label_classes(spark, sf)[1:])
     other = rows.select("vec_id", F.get(names, V.argmax(rest)).alias("y_pred"))
     return rounded(E.mcnemar(E.align(rows, other, "vec_id")), "statistic", "p_value")
 
 
-_ROC = f"""{Q.NEAR_LABEL}, pairs AS (SELECT k AS class, round(score, 6) AS score, count(*) FILTER (y_true = k) AS pos,
-  count(*) FILTER (y_true <> k) AS neg FROM near_scores GROUP BY ALL),
+_ROC = f"""{Q.NEAR_LABEL}, pairs AS (SELECT k AS class, score, count(*) FILTER (y_true = k) AS pos,
+  count(*) FILTER (y_true <> k) AS neg FROM near_scores JOIN split USING (vec_id) WHERE is_test GROUP BY ALL),
 points AS (SELECT class, score, sum(neg) OVER up / sum(neg) OVER al AS fpr, sum(pos) OVER up / sum(pos) OVER al AS tpr
   FROM pairs WINDOW up AS (PARTITION BY class ORDER BY score DESC ROWS UNBOUNDED PRECEDING), al AS (PARTITION BY class)),
 areas AS (SELECT class, sum(a) AS auc FROM (SELECT class, (fpr - lag(fpr, 1, 0) OVER w) * (tpr + lag(tpr, 1, 0) OVER w) / 2 AS a
   FROM points WINDOW w AS (PARTITION BY class ORDER BY score DESC)) GROUP BY class)"""
 
 
-@query("A27", f"WITH {_ROC} SELECT class, score, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM points")
+@query("A27", f"WITH {_ROC} SELECT class, round(score, 6) AS score, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM points")
 def roc_points(spark: SparkSession, sf: str) -> DataFrame:
-    points = E.roc_points(label_predictions(spark, sf), label_classes(spark, sf))
-    return rounded(points, "fpr", "tpr")
+    """Points of the unrounded scores; only what is shown is rounded."""
+    points = E.roc_points(label_test_predictions(spark, sf), label_classes(spark, sf))
+    return rounded(points, "score", "fpr", "tpr")
 
 
 @query("A27", f"WITH {_ROC} SELECT round(avg(auc), 6) AS macro_auc FROM areas")
 def macro_auc(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(E.macro_auc(label_predictions(spark, sf), label_classes(spark, sf)), "macro_auc")
+    return rounded(E.macro_auc(label_test_predictions(spark, sf), label_classes(spark, sf)), "macro_auc")
 
 
 _LOG = "log AS (SELECT CAST(ts AS DATE) AS epoch, ts, event_id, CASE WHEN event_type = 'view' THEN value END AS loss, CASE WHEN event_type = 'click' THEN value END AS eval_loss, CASE WHEN event_type = 'error' THEN value END AS eval_f1 FROM events)"
@@ -584,7 +569,7 @@ def random_forest_metrics(spark: SparkSession, sf: str) -> DataFrame:
 def grid_search_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Mean macro F1 of each grid point of the regression over five folds."""
     train, _, _ = _training(spark, sf)
-    lr = FT.logistic_regression(train.n, max_iter=100)
+    lr = FT.logistic_regression(train.n)
     found = FT.grid_search(lr, FT.regression_grid(lr, train.n), train.rows)
     scores = [(float(c), float(m)) for c, m in zip(FT.LR_GRID, found.avgMetrics, strict=True)]
     return rounded(spark.createDataFrame(scores, "c double, cv_f1_macro double"), "cv_f1_macro")
@@ -653,16 +638,44 @@ f1 AS (SELECT alpha, fold, avg(f1) AS f1_macro FROM (
   SELECT alpha, fold, class, 2.0 * sum(h) / (sum(t) + sum(p)) AS f1 FROM sides GROUP BY ALL) GROUP BY ALL)"""
 
 
+def _fold_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Features of the training part with folds, written once."""
+
+    def make() -> DataFrame:
+        c = corpus(spark, sf)
+        train = c.train_terms()
+        fitted = materialize(X.fit_vocabulary(train), "vocabulary")
+        features = X.transform(train, fitted, "doc_id").join(c.split.select("doc_id", "fold"), "doc_id")
+        return materialize(features, "features")
+
+    return once(spark, sf, "fold features", make)
+
+
+def _grid_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Macro F1 of four smoothing values over five folds, in one pass."""
+    found = C.naive_bayes_grid(_fold_features(spark, sf), "doc_id", "category", FT.NB_GRID)
+    return E.averages(E.class_metrics(found, ["alpha", "fold"]), ["alpha", "fold"])
+
+
 @query("M9 M10", f"{_GRID} SELECT alpha, fold, round(f1_macro, 6) AS f1_macro FROM f1")
 def naive_bayes_grid_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """Four smoothing values over five folds in one pass."""
-    c = corpus(spark, sf)
-    train = c.train_terms()
-    fitted = materialize(X.fit_vocabulary(train), "vocabulary")
-    features = X.transform(train, fitted, "doc_id").join(c.split.select("doc_id", "fold"), "doc_id")
-    found = C.naive_bayes_grid(materialize(features, "features"), "doc_id", "category", FT.NB_GRID)
-    scores = E.averages(E.class_metrics(found, ["alpha", "fold"]), ["alpha", "fold"])
-    return rounded(scores.select("alpha", "fold", "f1_macro"), "f1_macro")
+    return rounded(_grid_scores(spark, sf).select("alpha", "fold", "f1_macro"), "f1_macro")
+
+
+@query("M10", f"{_GRID} SELECT fold, round(f1_macro, 6) AS f1_macro FROM f1 WHERE alpha = 0.1::DOUBLE")
+def fold_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Cross-validation of naive Bayes: every fold is predicted without its rows."""
+    found = C.naive_bayes_grid(_fold_features(spark, sf), "doc_id", "category", [0.1])
+    return rounded(FT.fold_scores(found), "f1_macro")
+
+
+@query(
+    "A22",
+    f"{_GRID} SELECT alpha, round(avg(f1_macro), 6) AS cv_mean, round(stddev_pop(f1_macro), 6) AS cv_std FROM f1 GROUP BY alpha",
+)
+def cv_summary(spark: SparkSession, sf: str) -> DataFrame:
+    scores = _grid_scores(spark, sf)
+    return rounded(E.cv_summary(scores, "f1_macro", ["alpha"]), "cv_mean", "cv_std")
 
 
 # --- scoring and history -------------------------------------------------------------

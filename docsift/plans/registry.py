@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsift.operators import classify as C
+from docsift.operators import splits as S
 from docsift.plans.corpus import Corpus, prepare
 from docsift.sources.store import materialize, spread
 
@@ -95,27 +96,54 @@ def document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_model(spark: SparkSession, sf_dir: str) -> C.NearestCentroid:
-    make = lambda: C.fit_centroids(document_vectors(spark, sf_dir), "y_true", "embedding")
-    return once(spark, sf_dir, "vector model", make)
+    """The embedding model, fit on the training part of the corpus."""
+
+    def fit() -> C.NearestCentroid:
+        train = S.take_train(document_vectors(spark, sf_dir), corpus(spark, sf_dir).split, "doc_id")
+        return C.fit_centroids(train, "y_true", "embedding")
+
+    return once(spark, sf_dir, "vector model", fit)
 
 
 def vector_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nearest-centroid predictions of the document language."""
+    """Nearest-centroid predictions of the language of all documents."""
     scored = C.score_centroids(document_vectors(spark, sf_dir), vector_model(spark, sf_dir), "embedding")
     return scored.drop("embedding")
 
 
+def label_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(vec_id, is_test)`` of the embeddings, stratified by label."""
+
+    def make() -> DataFrame:
+        rows = table(spark, sf_dir, "embeddings").select("vec_id", "label")
+        return materialize(S.stratified_split(rows, "vec_id", "label").select("vec_id", "is_test"), "label-split")
+
+    return once(spark, sf_dir, "label split", make)
+
+
+def label_model(spark: SparkSession, sf_dir: str) -> C.NearestCentroid:
+    """Centroids of the embedding labels, fit on the training part."""
+
+    def fit() -> C.NearestCentroid:
+        train = S.take_train(table(spark, sf_dir, "embeddings"), label_split(spark, sf_dir), "vec_id")
+        return C.fit_centroids(train, "label", "embedding")
+
+    return once(spark, sf_dir, "label model", fit)
+
+
 def label_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nearest-centroid predictions of the embedding labels: ``(vec_id, y_true, scores, y_pred)``."""
+    """Nearest-centroid predictions of all embedding labels: ``(vec_id, y_true, scores, y_pred)``."""
     rows = table(spark, sf_dir, "embeddings").withColumnRenamed("label", "y_true")
-    make = lambda: C.fit_centroids(rows, "y_true", "embedding")
-    model = once(spark, sf_dir, "label model", make)
-    return C.score_centroids(rows, model, "embedding").drop("embedding")
+    return C.score_centroids(rows, label_model(spark, sf_dir), "embedding").drop("embedding")
+
+
+def label_test_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predictions that evaluations use: those of the test part."""
+    return S.take_test(label_predictions(spark, sf_dir), label_split(spark, sf_dir), "vec_id")
 
 
 def label_classes(spark: SparkSession, sf_dir: str) -> list:
-    label_predictions(spark, sf_dir)
-    return once(spark, sf_dir, "label model", lambda: None).classes
+    return label_model(spark, sf_dir).classes
 
 
 def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:

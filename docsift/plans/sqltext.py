@@ -169,9 +169,10 @@ BAYES = ",\n".join(
 
 
 def centroid(rows: str, row_id: str, category: str) -> str:
-    """Nearest centroid fit and scored on ``rows``; ``near_scores`` is one row per class."""
+    """Nearest centroid of all ``rows``, fit on those outside the test part of ``split``;
+    ``near_scores`` is one row per class, ``near_test`` holds the test part."""
     return f"""parts AS (SELECT {category} AS k, unnest(generate_series(1, len(embedding))) AS i,
-  unnest(embedding)::DOUBLE AS x FROM {rows}),
+  unnest(embedding)::DOUBLE AS x FROM {rows} WHERE {row_id} NOT IN (SELECT {row_id} FROM split WHERE is_test)),
 means AS (SELECT k, i, avg(x) AS x FROM parts GROUP BY k, i),
 model AS MATERIALIZED (SELECT k, list(x ORDER BY i) AS c FROM means GROUP BY k),
 margins AS MATERIALIZED (SELECT {row_id}, {category} AS y_true, k,
@@ -180,12 +181,14 @@ scaled AS (SELECT *, exp(2.0 * (m - avg(m) OVER w) / (stddev_pop(m) OVER w + 1e-
   FROM margins WINDOW w AS (PARTITION BY {row_id})),
 near_scores AS MATERIALIZED (SELECT {row_id}, y_true, k, m, e / sum(e) OVER (PARTITION BY {row_id}) AS score FROM scaled),
 near AS MATERIALIZED (SELECT {row_id}, y_true, arg_max(k, (m, -rank_k)) AS y_pred, max(score) AS confidence
-  FROM (SELECT *, rank() OVER (PARTITION BY {row_id} ORDER BY k) AS rank_k FROM near_scores) GROUP BY {row_id}, y_true)"""
+  FROM (SELECT *, rank() OVER (PARTITION BY {row_id} ORDER BY k) AS rank_k FROM near_scores) GROUP BY {row_id}, y_true),
+near_test AS (SELECT near.* FROM near JOIN split USING ({row_id}) WHERE is_test)"""
 
 
 VECTORS = "doc_vectors AS MATERIALIZED (SELECT d.doc_id, d.lang AS category, e.embedding FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id)"
+#: After a ``split`` of the documents.
 NEAR_LANG = f"{VECTORS},\n{centroid('doc_vectors', 'doc_id', 'category')}"
-NEAR_LABEL = centroid("embeddings", "vec_id", "label")
+NEAR_LABEL = ranked("embeddings", "label", "vec_id") + ",\n" + centroid("embeddings", "vec_id", "label")
 
 
 def class_metrics(rows: str, name: str = "per_class") -> str:

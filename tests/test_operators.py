@@ -109,6 +109,26 @@ def test_auc_against_pair_counting(spark):
     assert math.isclose(got["a"], wins / (len(pos) * len(neg)), rel_tol=1e-9)
 
 
+
+def test_roc_tells_tiny_scores_apart(spark):
+    df = spark.createDataFrame(
+        [("a", [2e-8, 1.0]), ("b", [1e-8, 1.0 - 1e-12]), ("a", [0.6, 0.4]), ("b", [0.5, 0.0])],
+        "y_true string, scores array<double>",
+    )
+    got = {r["class"]: r["auc"] for r in E.roc_auc(df, ["a", "b"]).collect()}
+    assert got == {"a": 0.75, "b": 0.25}
+    points = [(r["fpr"], r["tpr"]) for r in E.roc_points(df, ["a", "b"]).filter("class = 'a'").orderBy("fpr", "tpr").collect()]
+    assert points == [(0.0, 0.5), (0.5, 0.5), (0.5, 1.0), (1.0, 1.0)]
+
+
+def test_capped_terms_at_a_tie(spark):
+    rows = spark.createDataFrame([(f"t{i:02}", 1, 3 if i % 2 else 7) for i in range(20)], "term string, df long, tf long")
+    for n in (4, 12, 50):
+        want = [r["term"] for r in rows.orderBy(F.desc("tf"), "term").limit(n).collect()]
+        got = X.capped(rows, X.TfidfConfig(max_features=n)).orderBy(F.desc("tf"), "term").collect()
+        assert [r["term"] for r in got] == want
+
+
 def test_best_and_worst(spark):
     rows = spark.createDataFrame([("m1", 0.5), ("m0", 0.9), ("m2", 0.9)], "model string, f1_macro double")
     row = E.best_and_worst(rows).first()
