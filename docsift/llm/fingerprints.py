@@ -24,8 +24,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docsift.llm.common import text_or_empty, texts
-from docsift.llm.linking import near_classes
-from docsift.llm.neardup import band_keys
+from docsift.llm.linking import near_classes, sketch_bits
+from docsift.llm.neardup import SKETCH, band_keys
 from docsift.llm.words import WordHasher, plain_bytes, shingles
 from docsift.sources.store import materialize
 
@@ -96,20 +96,22 @@ def near_duplicates(
     def sign():
         make = Fingerprinter()
 
-        def bands_of(text: str) -> tuple[np.ndarray, bytes]:
+        def bands_of(text: str) -> np.ndarray:
             print_ = make.signature(text).astype(np.uint64)
-            if (print_ == np.iinfo(np.uint32).max).all():
-                return np.zeros(0, np.int64), b""
-            return band_keys(print_, BANDS), print_.astype(np.uint8).tobytes()
+            empty = (print_ == np.iinfo(np.uint32).max).all()
+            return np.zeros(0, np.int64) if empty else band_keys(print_, BANDS)
 
         return bands_of
 
+    def sketch():
+        make = Fingerprinter(permutations=SKETCH)
+        return lambda text: sketch_bits(make.signature(text).astype(np.uint64))
+
     def profile():
         make = Fingerprinter()
         return lambda text: np.unique(make.shingles(text))
 
-    shape = (BANDS, PERMUTATIONS // BANDS)
-    return near_classes(documents, sign, profile, jaccard, shape, least, id_col, text_col)
+    return near_classes(documents, sign, sketch, profile, jaccard, least, id_col, text_col)
 
 
 def jaccard(x: np.ndarray, y: np.ndarray) -> float:

@@ -5,8 +5,9 @@ in a bucket. The node that sees most others in its buckets is the centre of each
 every node is compared with its centres, exactly, on the whole texts, which joins
 most copies at a cost of a few comparisons each. In the buckets that still hold
 several components, what lies outside the largest one is compared with the rest by
-signatures, in blocks of a fixed size inside a task; only pairs whose signatures
-agree nearly as often as the wanted similarity go on to the exact comparison.
+sketches, in blocks of a fixed size inside a task; only pairs whose sketches agree
+nearly as often as the wanted similarity go on to the exact comparison. A sketch
+keeps one bit of each component of a long signature, made for these nodes only.
 No bucket is capped or left out. Classes are the connected components of the links.
 """
 
@@ -21,11 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsift.llm.common import free_name, text_or_empty, texts
+from docsift.llm.words import mixed
 from docsift.sources.store import materialize
 
 #: Nodes of a bucket in a block.
 BLOCK = 1_024
-#: Standard deviations by which the agreement of signatures may lie below the wanted similarity:
+#: Standard deviations by which the agreement of sketches may lie below the wanted similarity:
 #: a pair just at that similarity is passed over in 2 of 10,000 cases.
 DEVIATIONS = 3.6
 NODE_BYTES = 16
@@ -36,10 +38,16 @@ def text_node(text_col: str) -> Column:
     return F.unhex(F.md5(text_or_empty(text_col)))
 
 
+def sketch_bits(kept: np.ndarray) -> bytes:
+    """One bit of each component of a signature; where components differ, the bits agree by half."""
+    step = np.arange(1, len(kept) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return np.packbits((mixed(kept ^ step) & np.uint64(1)).astype(np.uint8)).tobytes()
+
+
 def signed(
-    documents: DataFrame, sign: Callable[[], Callable[[str], tuple]], id_col: str, text_col: str
+    documents: DataFrame, sign: Callable[[], Callable[[str], np.ndarray]], id_col: str, text_col: str
 ) -> DataFrame:
-    """``(doc_id, node, bands, sketch)`` of every whole text, in one Arrow pass."""
+    """``(doc_id, node, bands)`` of every whole text, in one Arrow pass."""
     rows = documents.select(
         F.col(id_col).alias("doc_id"), text_node(text_col).alias("node"), F.col(text_col).alias("text")
     )
@@ -48,12 +56,23 @@ def signed(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands_of = sign()
         for batch in batches:
-            found = [bands_of(t) for t in texts(batch, "text")]
-            bands = pa.array([f[0] for f in found], pa.list_(pa.int64()))
-            out = [batch.column("doc_id"), batch.column("node"), bands, pa.array([f[1] for f in found], pa.binary())]
-            yield pa.RecordBatch.from_arrays(out, ["doc_id", "node", "bands", "sketch"])
+            bands = pa.array([bands_of(t) for t in texts(batch, "text")], pa.list_(pa.int64()))
+            out = [batch.column("doc_id"), batch.column("node"), bands]
+            yield pa.RecordBatch.from_arrays(out, ["doc_id", "node", "bands"])
+
+    return rows.mapInArrow(run, f"doc_id {id_type}, node binary, bands array<bigint>")
+
+
+def _sketched(node_texts: DataFrame, sketch: Callable[[], Callable[[str], bytes]]) -> DataFrame:
+    """``(node, sketch)`` of whole texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch_of = sketch()
+        for batch in batches:
+            found = pa.array([sketch_of(t) for t in texts(batch, "text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), found], ["node", "sketch"])
 
-    return rows.mapInArrow(run, f"doc_id {id_type}, node binary, bands array<bigint>, sketch binary")
+    return node_texts.select("node", "text").mapInArrow(run, "node binary, sketch binary")
 
 
 def _measured(pairs: DataFrame, node_texts: DataFrame, profile: Callable, similarity: Callable) -> DataFrame:
@@ -80,46 +99,38 @@ def _parted(rooted: DataFrame) -> DataFrame:
     return sizes.filter("parts > 1").drop("parts")
 
 
-def _agreeing(rooted: DataFrame, sketches: DataFrame, bands: int, width: int, least: float) -> DataFrame:
-    """``(a, b)``: pairs of a bucket in different components whose signatures agree often enough.
-
-    Sketches hold one byte for each component of a signature, those of the bands
-    first. A pair that shares several bands is given out in the first of them.
-    """
-    rows = rooted.join(_parted(rooted), "key").join(sketches, "node")
-    rows = rows.select(
+def _agreeing(parted: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """``(a, b)``: pairs of a bucket in different components whose sketches agree often enough."""
+    rows = parted.join(sketches, "node").select(
         "key",
-        "band",
         F.concat("node", "root", "sketch").alias("packed"),
         (F.col("root") != F.col("largest")).alias("outside"),
         F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block"),
     )
-    inside = rows.groupBy("key", "band", "block").agg(F.collect_list("packed").alias("others"))
+    inside = rows.groupBy("key", "block").agg(F.collect_list("packed").alias("others"))
     outside = rows.filter("outside").groupBy("key", F.col("block").alias("outer"))
-    met = outside.agg(F.collect_list("packed").alias("asked")).join(inside, "key").select("band", "asked", "others")
+    met = outside.agg(F.collect_list("packed").alias("asked")).join(inside, "key").select("asked", "others")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def unpack(packed: list[bytes]):
-            table = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1)
-            return [p[:NODE_BYTES] for p in packed], [p[NODE_BYTES : 2 * NODE_BYTES] for p in packed], table[:, 2 * NODE_BYTES :]
+            table = np.frombuffer(b"".join(packed), np.uint64).reshape(len(packed), -1)
+            return [p[:NODE_BYTES] for p in packed], [p[NODE_BYTES : 2 * NODE_BYTES] for p in packed], table[:, 4:]
 
         for batch in batches:
             a, b = [], []
             for row in range(batch.num_rows):
-                band, asked, others = (batch.column(c)[row].as_py() for c in ("band", "asked", "others"))
-                nodes, roots, table = unpack(others)
-                asked_nodes, asked_roots, asked_table = unpack(asked)
+                nodes, roots, table = unpack(batch.column("others")[row].as_py())
+                asked_nodes, asked_roots, asked_table = unpack(batch.column("asked")[row].as_py())
                 outer = set(asked_nodes)
-                wanted = (least - DEVIATIONS * (least * (1 - least) / table.shape[1]) ** 0.5) * table.shape[1]
+                bits, agree = 64 * table.shape[1], (1 + least) / 2
+                unlike = bits * (1 - agree + DEVIATIONS * (agree * (1 - agree) / bits) ** 0.5)
                 for node, root, sketch in zip(asked_nodes, asked_roots, asked_table, strict=True):
-                    equal = table == sketch
-                    for i in np.flatnonzero(equal.sum(axis=1) >= wanted).tolist():
+                    differ = np.bitwise_count(table ^ sketch).sum(axis=1, dtype=np.int64)
+                    for i in np.flatnonzero(differ <= unlike).tolist():
                         if roots[i] == root or (nodes[i] in outer and nodes[i] < node):
                             continue
-                        shared = equal[i, : bands * width].reshape(bands, width).all(axis=1)
-                        if int(shared.argmax()) == band:
-                            a.append(min(node, nodes[i]))
-                            b.append(max(node, nodes[i]))
+                        a.append(min(node, nodes[i]))
+                        b.append(max(node, nodes[i]))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
     return met.mapInArrow(run, "a binary, b binary").distinct()
@@ -127,16 +138,15 @@ def _agreeing(rooted: DataFrame, sketches: DataFrame, bands: int, width: int, le
 
 def links(
     buckets: DataFrame,
-    nodes: DataFrame,
     node_texts: DataFrame,
+    sketch: Callable[[], Callable[[str], bytes]],
     profile: Callable,
     similarity: Callable,
-    shape: tuple[int, int],
     least: float,
 ) -> DataFrame:
     """``(a, b)``: links that connect all nodes which links within buckets connect.
 
-    ``buckets`` has ``(key, band, node, n)`` with the number of nodes of the bucket.
+    ``buckets`` has ``(key, node, n)`` with the number of nodes of the bucket.
     """
     near = F.col("far") <= F.lit(1 - least + 1e-9)
     seen = buckets.groupBy("node").agg(F.sum("n").alias("seen"))
@@ -146,9 +156,14 @@ def links(
     pairs = met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
     first = materialize(_measured(pairs, node_texts, profile, similarity), "measured")
     roots = components(first.filter(near))
-    rooted = ranked.select("key", "band", "node").join(roots, "node", "left")
+    rooted = ranked.select("key", "node").join(roots, "node", "left")
     rooted = materialize(rooted.withColumn("root", F.coalesce("root", "node")), "rooted")
-    pairs = _agreeing(rooted, nodes.select("node", "sketch"), *shape, least).join(first, ["a", "b"], "left_anti")
+    parted = materialize(rooted.join(_parted(rooted), "key"), "parted")
+    # a few texts are much work: a fixed number of partitions, which are not merged for their few bytes
+    parts = int(parted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    apart = node_texts.join(parted.select("node").distinct(), "node").repartition(parts, "node")
+    sketches = materialize(_sketched(apart, sketch), "sketches")
+    pairs = _agreeing(parted, sketches, least).join(first, ["a", "b"], "left_anti")
     second = materialize(_measured(pairs, node_texts, profile, similarity), "measured")
     return first.unionAll(second).filter(near).select("a", "b")
 
@@ -183,10 +198,10 @@ def _mark(edges: DataFrame) -> tuple:
 
 def near_classes(
     documents: DataFrame,
-    sign: Callable[[], Callable[[str], tuple]],
+    sign: Callable[[], Callable[[str], np.ndarray]],
+    sketch: Callable[[], Callable[[str], bytes]],
     profile: Callable[[], Callable],
     similarity: Callable,
-    shape: tuple[int, int],
     least: float,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -194,14 +209,13 @@ def near_classes(
     """``(doc_id, node, class_id, first_node)`` of every document.
 
     ``class_id`` is the smallest id of the class, ``first_node`` the text it
-    stands for. ``sign`` and ``profile`` make the functions from text to band keys
-    with a sketch, and to what ``similarity`` compares; ``shape`` is the number of
-    bands and their width.
+    stands for. ``sign``, ``sketch`` and ``profile`` make the functions from text to
+    band keys, to a sketch, and to what ``similarity`` compares.
     """
     members = materialize(signed(documents, sign, id_col, text_col), "signed")
-    one = [F.first(c).alias(c) for c in ("bands", "sketch")]
-    nodes = materialize(members.groupBy("node").agg(F.min("doc_id").alias("first"), *one), "nodes")
-    buckets = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    nodes = members.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
+    nodes = materialize(nodes, "nodes")
+    buckets = nodes.select("node", F.explode("bands").alias("key"))
     many = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     buckets = materialize(buckets.join(many, "key"), "buckets")
     wanted = buckets.select("node").distinct().join(nodes.select("node", "first"), "node")
@@ -211,7 +225,7 @@ def near_classes(
     same = (F.col("id") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("first"))
     node_texts = of_text.join(wanted, same).dropDuplicates(["id", "doc_id"]).select("node", "text")
     node_texts = materialize(node_texts, "texts")
-    found = components(links(buckets, nodes, node_texts, profile, similarity, shape, least))
+    found = components(links(buckets, node_texts, sketch, profile, similarity, least))
     rooted = nodes.select("node", "first").join(found, "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node"))
     firsts = rooted.groupBy("root").agg(F.min(F.struct(F.col("first").isNull(), "first", "node")).alias("least"))

@@ -18,12 +18,11 @@ repeated ids each row has the class of its text. The smallest id names a class
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from docsift.llm.linking import near_classes
+from docsift.llm.linking import near_classes, sketch_bits
 from docsift.llm.words import WordHasher, mixed, plain_bytes, shingles
 
 SIZE = 5
@@ -31,8 +30,8 @@ LEAST = 0.8
 #: Bands and components of a band: a pair at 0.8 shares no band in 5 of 100,000 cases.
 BANDS = 25
 WIDTH = 5
-#: Components of a signature; the first ones make up the bands.
-COMPONENTS = 256
+#: Components of the long signature that a sketch keeps a bit of.
+SKETCH = 2_048
 
 
 def weighted_shingles(text: str, hasher: WordHasher, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
@@ -56,10 +55,9 @@ def signature(elements: np.ndarray, weights: np.ndarray, size: int) -> np.ndarra
         uniform = ((mixed(random) >> np.uint64(11)).astype(float) + 0.5) / (1 << 53)
         arrival = time[:, None] + np.cumsum(-np.log(uniform), axis=1) / weights[:, None]
         time, drawn = arrival[:, -1], drawn + n
-        early = np.nonzero(arrival < first[component])
-        at, who, where = arrival[early], elements[early[0]], component[early]
-        order = np.argsort(-at, kind="stable")  # the earliest is written last and stays
-        first[where[order]], kept[where[order]] = at[order], who[order]
+        np.minimum.at(first, component, arrival)
+        won = arrival == first[component]
+        kept[component[won]] = elements[np.nonzero(won)[0]]
         alive = time < first.max()
         elements, weights, time = elements[alive], weights[alive], time[alive]
     return kept
@@ -92,22 +90,6 @@ def probability_jaccard(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, n
     return float((cx / (only_x + from_x + ratio * (only_y + below_y))).sum())
 
 
-def _signer(size: int) -> Callable[[], Callable[[str], tuple[np.ndarray, bytes]]]:
-    def make():
-        hasher = WordHasher()
-
-        def bands_of(text: str) -> tuple[np.ndarray, bytes]:
-            elements, weights = weighted_shingles(text, hasher, size)
-            if not len(elements):
-                return np.zeros(0, np.int64), b""
-            kept = signature(elements, weights, COMPONENTS)
-            return band_keys(kept[: BANDS * WIDTH]), kept.astype(np.uint8).tobytes()
-
-        return bands_of
-
-    return make
-
-
 def near_duplicates(
     documents: DataFrame,
     size: int = SIZE,
@@ -121,5 +103,17 @@ def near_duplicates(
         hasher = WordHasher()
         return lambda text: weighted_shingles(text, hasher, size)
 
-    shape = (BANDS, WIDTH)
-    return near_classes(documents, _signer(size), profile, probability_jaccard, shape, least, id_col, text_col)
+    def sign():
+        shingled = profile()
+
+        def bands_of(text: str) -> np.ndarray:
+            elements, weights = shingled(text)
+            return band_keys(signature(elements, weights, BANDS * WIDTH)) if len(elements) else np.zeros(0, np.int64)
+
+        return bands_of
+
+    def sketch():
+        shingled = profile()
+        return lambda text: sketch_bits(signature(*shingled(text), SKETCH))
+
+    return near_classes(documents, sign, sketch, profile, probability_jaccard, least, id_col, text_col)
