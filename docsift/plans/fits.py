@@ -124,9 +124,8 @@ def regression_grid(lr: LogisticRegression, n: int, values: Sequence[float] = LR
 
 
 def svm_grid(ovr: OneVsRest, n: int, values: Sequence[float] = SVM_GRID) -> list:
-    svc = ovr.getClassifier()
-    choices = [svc.copy({svc.regParam: 1.0 / (c * n)}) for c in values]
-    return ParamGridBuilder().addGrid(ovr.classifier, choices).build()
+    # points name the inner parameter: a copy of OneVsRest takes its own classifier again, not one of the point
+    return ParamGridBuilder().addGrid(ovr.getClassifier().regParam, [1.0 / (c * n) for c in values]).build()
 
 
 def forest_grid(forest: RandomForestClassifier) -> list:

@@ -517,18 +517,21 @@ def reloaded_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(metrics, *_SCORES)
 
 
-def _training(spark: SparkSession, sf: str) -> FT.TrainingSet:
-    """Small-vocabulary vectors of the training part with folds, written once."""
+def _training(
+    spark: SparkSession, sf: str, config: X.TfidfConfig = X.STANDARD, balanced: bool = True
+) -> tuple[FT.TrainingSet, DataFrame, DataFrame]:
+    """Vectors of the training part with folds, written once, then the test part and the vocabulary."""
 
     def make() -> tuple[FT.TrainingSet, DataFrame, DataFrame]:
         c = corpus(spark, sf)
-        fitted = materialize(X.fit_vocabulary(c.train_terms(), X.SMALL), "vocabulary")
-        vectors = X.to_vectors(X.transform(c.terms, fitted, "doc_id", X.SMALL), X.SMALL.max_features)
+        fitted = materialize(X.fit_vocabulary(c.train_terms(), config), "vocabulary")
+        vectors = X.to_vectors(X.transform(c.terms, fitted, "doc_id", config), config.max_features)
         rows = S.attach_split(vectors, c.split, "doc_id")
-        train = FT.training_set(materialize(spread(rows.filter(~F.col("is_test")), "doc_id"), "train", rows.schema), "category")
+        kept = materialize(spread(rows.filter(~F.col("is_test")), "doc_id"), "train", rows.schema)
+        train = FT.training_set(kept, "category", balanced)
         return train, materialize(rows.filter("is_test"), "test", rows.schema), fitted
 
-    return once(spark, sf, "training set", make)
+    return once(spark, sf, f"training set {config} {balanced}", make)
 
 
 def _test_metrics(spark: SparkSession, sf: str, name: str, model) -> DataFrame:
@@ -553,7 +556,8 @@ def linear_svm_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("M6")
 def calibrated_svm_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    train, test, _ = _training(spark, sf)
+    """The small vectoriser and equal weights, as the reference calibrates."""
+    train, test, _ = _training(spark, sf, X.SMALL, balanced=False)
     model = FT.fit_calibrated_svm(train)
     rows = FT.score_calibrated_svm(model, test.withColumnRenamed("category", "y_true"), "doc_id", "y_true")
     return rounded(E.model_metrics(rows.withColumn("model", F.lit(model.name))), *_SCORES)
@@ -562,17 +566,76 @@ def calibrated_svm_metrics(spark: SparkSession, sf: str) -> DataFrame:
 @query("M8")
 def random_forest_metrics(spark: SparkSession, sf: str) -> DataFrame:
     train, _, _ = _training(spark, sf)
-    return _test_metrics(spark, sf, "Random Forest", FT.random_forest(trees=100).fit(train.rows))
+    model = once(spark, sf, "forest", lambda: FT.random_forest().fit(train.rows))
+    return _test_metrics(spark, sf, "Random Forest", model)
+
+
+def _search(spark: SparkSession, sf: str, name: str):
+    """The grid of one model over five folds, refitted with its best point."""
+    train, _, _ = _training(spark, sf)
+
+    def fit():
+        if name == "Logistic Regression":
+            model = FT.logistic_regression(train.n)
+            grid = FT.regression_grid(model, train.n)
+        elif name == "Linear SVM":
+            model = FT.linear_svm(train.n)
+            grid = FT.svm_grid(model, train.n)
+        else:
+            model = FT.random_forest()
+            grid = FT.forest_grid(model)
+        return FT.grid_search(model, grid, train.rows)
+
+    return once(spark, sf, f"grid of {name}", fit)
+
+
+def _search_scores(spark: SparkSession, sf: str, name: str, points: list[tuple], schema: str) -> DataFrame:
+    """Mean macro F1 of each grid point over five folds."""
+    found = _search(spark, sf, name)
+    scores = [(*p, float(m)) for p, m in zip(points, found.avgMetrics, strict=True)]
+    return rounded(spark.createDataFrame(scores, f"{schema}, cv_f1_macro double"), "cv_f1_macro")
 
 
 @query("M9")
 def grid_search_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """Mean macro F1 of each grid point of the regression over five folds."""
-    train, _, _ = _training(spark, sf)
-    lr = FT.logistic_regression(train.n)
-    found = FT.grid_search(lr, FT.regression_grid(lr, train.n), train.rows)
-    scores = [(float(c), float(m)) for c, m in zip(FT.LR_GRID, found.avgMetrics, strict=True)]
-    return rounded(spark.createDataFrame(scores, "c double, cv_f1_macro double"), "cv_f1_macro")
+    """The grid of the regression."""
+    return _search_scores(spark, sf, "Logistic Regression", [(float(c),) for c in FT.LR_GRID], "c double")
+
+
+@query("M5 M9")
+def svm_grid_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return _search_scores(spark, sf, "Linear SVM", [(float(c),) for c in FT.SVM_GRID], "c double")
+
+
+@query("M8 M9")
+def forest_grid_scores(spark: SparkSession, sf: str) -> DataFrame:
+    points = [(d, m) for d in FT.FOREST_DEPTHS for m in FT.FOREST_MIN_ROWS]
+    return _search_scores(spark, sf, "Random Forest", points, "max_depth int, min_rows int")
+
+
+@query("M9 M11")
+def trained_models(spark: SparkSession, sf: str) -> DataFrame:
+    """All four models by grid search and refit, on the same test documents."""
+    train, test, _ = _training(spark, sf)
+    rows = test.withColumnRenamed("category", "y_true")
+
+    def searched(name: str):
+        def fit():
+            model = _search(spark, sf, name).bestModel
+            return lambda: FT.predictions(model, rows, train.classes, "doc_id", "y_true")
+
+        return fit
+
+    def bayes():
+        c = corpus(spark, sf)
+        means = E.cv_summary(_grid_scores(spark, sf), "f1_macro", ["alpha"])
+        alpha = means.orderBy(F.desc("cv_mean"), "alpha").first()["alpha"]
+        model = C.fit_naive_bayes(c.train_terms(), "doc_id", "category", alpha)
+        return lambda: C.score_naive_bayes(c.test_terms().withColumnRenamed("category", "y_true"), model, "doc_id")
+
+    fits = {name: searched(name) for name in ("Logistic Regression", "Linear SVM", "Random Forest")}
+    found, seconds = CM.run_models(fits | {"Naive Bayes": bayes})
+    return rounded(CM.results_table(found, seconds), *_SCORES)
 
 
 @query("W7")
