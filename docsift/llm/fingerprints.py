@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docsift.llm.common import text_or_empty, texts
-from docsift.llm.linking import near_classes, sketch_bits
+from docsift.llm.linking import near_classes, sketch_bits, text_node
 from docsift.llm.neardup import SKETCH, band_keys
 from docsift.llm.words import WordHasher, plain_bytes, shingles
 from docsift.sources.store import materialize
@@ -119,7 +119,9 @@ def jaccard(x: np.ndarray, y: np.ndarray) -> float:
     return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
 
 
-def _finished(doc_id, text: str, mine: np.ndarray, following: str, next_: np.ndarray, make: Fingerprinter) -> dict:
+def _finished(
+    doc_id, text: str, mine: np.ndarray, node: bytes, following: str, next_: np.ndarray, make: Fingerprinter
+) -> dict:
     changed = edited(text, following)
     after = make.signature(changed)
     return {
@@ -130,11 +132,13 @@ def _finished(doc_id, text: str, mine: np.ndarray, following: str, next_: np.nda
         "edited_fingerprint": after.tobytes(),
         "near_edited": likeness(mine, after),
         "near_next": likeness(mine, next_),
+        "node": node,
     }
 
 
 def compare_neighbours(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Fingerprints of every text and its edited text, and their likeness to each other and to the next.
+    """Fingerprints of every text and its edited text, and their likeness to each other and to the next;
+    ``node`` is the identity of the text.
 
     Texts are range-partitioned by id once; each task walks through its range in
     order with two documents in hand. The first and last document of every range
@@ -144,12 +148,13 @@ def compare_neighbours(documents: DataFrame, id_col: str = "doc_id", text_col: s
         F.col(id_col).alias("doc_id"),
         text_or_empty(text_col).alias("text"),
         F.xxhash64(text_or_empty(text_col)).alias("text_hash"),
+        text_node(text_col).alias("node"),
     )
     ordered = rows.repartitionByRange("doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash")
     id_type = rows.schema["doc_id"].dataType
     results = (
         "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
-        "near_edited double, near_next double"
+        "near_edited double, near_next double, node binary"
     )
     schema = f"doc_id {id_type.simpleString()}, {results}"
 
@@ -158,14 +163,16 @@ def compare_neighbours(documents: DataFrame, id_col: str = "doc_id", text_col: s
         shape = None
 
         def end(which: int) -> dict:
-            doc_id, text, mine = held
-            return {"doc_id": doc_id, "fingerprint": mine.tobytes(), "part": part, "kind": which, "text": text}
+            doc_id, text, mine, node = held
+            ends = {"doc_id": doc_id, "fingerprint": mine.tobytes(), "node": node}
+            return ends | {"part": part, "kind": which, "text": text}
 
         for batch in batches:
             shape = shape or _arrow_shape(batch.schema.field("doc_id").type)
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch, "text"), strict=True):
+            ids, nodes = (batch.column(c).to_pylist() for c in ("doc_id", "node"))
+            for doc_id, text, node in zip(ids, texts(batch, "text"), nodes, strict=True):
                 mine = make.signature(text)
-                last, held = held, (doc_id, text, mine)
+                last, held = held, (doc_id, text, mine, node)
                 if last is None:
                     out.append(end(HEAD))
                 else:
@@ -177,7 +184,7 @@ def compare_neighbours(documents: DataFrame, id_col: str = "doc_id", text_col: s
             out.append(end(TAIL))
             yield pa.RecordBatch.from_pylist(out, shape)
 
-    walked = ordered.select("doc_id", "text").mapInArrow(walk, f"{schema}, part int, kind int, text string")
+    walked = ordered.select("doc_id", "text", "node").mapInArrow(walk, f"{schema}, part int, kind int, text string")
     walked = materialize(walked, "neighbours")
     columns = [c.split()[0] for c in schema.split(", ")]
     done = walked.filter(F.col("kind") == DONE).select(*columns)
@@ -190,7 +197,7 @@ def compare_neighbours(documents: DataFrame, id_col: str = "doc_id", text_col: s
     following = heads.select(
         F.col("part").alias("next_part"), F.col("text").alias("next_text"), F.col("fingerprint").alias("next_print")
     )
-    tails = walked.filter(F.col("kind") == TAIL).select("doc_id", "text", "fingerprint", "part")
+    tails = walked.filter(F.col("kind") == TAIL).select("doc_id", "text", "fingerprint", "node", "part")
     ends = tails.join(ranges, "part").join(following, "next_part")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,10 +207,11 @@ def compare_neighbours(documents: DataFrame, id_col: str = "doc_id", text_col: s
             out = []
             for row in batch.to_pylist():
                 prints = [np.frombuffer(row[c], ">u4") for c in ("fingerprint", "next_print")]
-                out.append(_finished(row["doc_id"], row["text"], prints[0], row["next_text"], prints[1], make))
+                mine = (row["doc_id"], row["text"], prints[0], row["node"])
+                out.append(_finished(*mine, row["next_text"], prints[1], make))
             yield pa.RecordBatch.from_pylist(out, shape)
 
-    closed = ends.select("doc_id", "text", "fingerprint", "next_text", "next_print").mapInArrow(close, schema)
+    closed = ends.select("doc_id", "text", "fingerprint", "node", "next_text", "next_print").mapInArrow(close, schema)
     return done.unionAll(closed)
 
 
@@ -214,6 +222,7 @@ DONE_FIELDS = [
     ("edited_fingerprint", pa.binary()),
     ("near_edited", pa.float64()),
     ("near_next", pa.float64()),
+    ("node", pa.binary()),
 ]
 ALL_FIELDS = [*DONE_FIELDS, ("part", pa.int32()), ("kind", pa.int32()), ("text", pa.string())]
 

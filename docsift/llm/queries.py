@@ -162,6 +162,13 @@ FROM latest
 
 @query
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = fingerprints.compare_neighbours(read(spark, sf_dir, "documents"))
+    """Every text against its edit and its neighbour, and the class of its near-duplicates."""
+    documents = read(spark, sf_dir, "documents")
+    found = fingerprints.compare_neighbours(documents)
+    classes = fingerprints.near_duplicates(documents).select(
+        F.col("doc_id").alias("of_id"), F.col("node").alias("of_node"), "class_id"
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("node") == F.col("of_node"))
+    found = found.join(classes.distinct(), same).drop("of_id", "of_node", "node")
     digests = {c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")}
     return found.withColumns(digests)

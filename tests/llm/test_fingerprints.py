@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from docsift.llm import fingerprints as P
+from docsift.llm.queries import QUERIES
 from docsift.llm.words import WordHasher, plain_bytes
 
 
@@ -71,3 +72,19 @@ def test_hashes_of_long_texts_in_pieces(monkeypatch):
     whole = WordHasher().words(data, data != 32)
     monkeypatch.setattr(words, "PIECE", 1000)
     assert (WordHasher().words(data, data != 32) == whole).all() and len(set(whole.tolist())) == 5001
+
+
+def test_query_gives_the_classes_of_near_copies(spark, tmp_path):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10_000)}x" for _ in range(300)]
+    copies = [" ".join([*base[:k], f"changed{k}", *base[k + 1 :]]) for k in (20, 150, 290)]
+    other = " ".join(f"w{rng.randrange(10_000)}x" for _ in range(300))
+    near = [(4, " ".join(base)), (5, " ".join(base)), *zip((6, 7, 8), copies, strict=True)]
+    rows = [*near, (9, other), (9, copies[0]), (None, other), (3, None), (2, ""), (1, "a few own words of its own")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op10_fingerprints"](spark, str(tmp_path)).collect()
+    make = P.Fingerprinter()
+    expected_ids = [(i, 4) for i in (4, 5, 6, 7, 8, 9)] + [(9, 9), (None, 9), (3, 2), (2, 2), (1, 1)]
+    assert sorted(((r["doc_id"], r["class_id"]) for r in got), key=str) == sorted(expected_ids, key=str)
+    prints = {make.signature(t or "").tobytes().hex() for _, t in rows}
+    assert {r["fingerprint"] for r in got} == prints
