@@ -85,10 +85,9 @@ def op3_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(quality.score_quality(documents, model), 0.3)
 
 
-def _predicted(scored: DataFrame, least: float) -> DataFrame:
-    return scored.select(
-        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted")
-    )
+def _predicted(scored: DataFrame, least: float, *more: str) -> DataFrame:
+    predicted = (F.col("score") >= least).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", predicted, *more)
 
 
 @query
@@ -111,7 +110,7 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     model = toxicity.fit_toxicity(documents, read(spark, sf_dir, "labels"))
-    return _predicted(toxicity.score_toxicity(documents, model), 0.5)
+    return _predicted(toxicity.score_toxicity(documents, model, 0.5), 0.5, "offending")
 
 
 @query

@@ -41,7 +41,7 @@ _SIGNS = bytes(
     46 if chr(c) in ".!?\n" else c + 32 if 65 <= c < 91 else c if c >= 128 or chr(c).isalnum() else 32
     for c in range(256)
 )
-SENTENCE = re.compile(r"[^.!?\n]+")
+SENTENCE_END = re.compile(r"[.!?\n]")
 
 
 @dataclass(frozen=True)
@@ -122,29 +122,41 @@ class Scorer:
     def __init__(self, model: ToxicityModel):
         self.model, self.hasher = model, WordHasher()
 
-    def logits(self, text: str) -> np.ndarray:
-        """One per sentence that has a word."""
+    def sentences(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Number (sentence ends before it) and logit of every sentence that has a word."""
         sentence, slots = instances(text, self.hasher)
         if not len(sentence):
-            return np.zeros(0)
+            return np.zeros(0, np.int64), np.zeros(0)
         number = sentence - sentence.min()
         sums = np.bincount(number, self.model.weights[slots].sum(1, dtype=np.float64))
-        return sums[np.bincount(number) > 0] + self.model.bias
+        used = np.flatnonzero(np.bincount(number))
+        return used + sentence.min(), sums[used] + self.model.bias
+
+    def logits(self, text: str) -> np.ndarray:
+        """One per sentence that has a word."""
+        return self.sentences(text)[1]
 
     def document(self, text: str) -> float:
-        if self.model.weights is None:
-            return self.model.share if len(instances(text, self.hasher)[0]) else 0.0
-        return float(-np.expm1(-np.logaddexp(0, self.logits(text)).sum()))
+        return self.scored(text)[0]
 
     def located(self, text: str, least: float) -> list[dict]:
         """Character spans of the sentences that score at least ``least``."""
-        out = []
-        for m in SENTENCE.finditer(text) if self.model.weights is not None else ():
-            for z in self.logits(m.group()).tolist():
-                score = 1 / (1 + np.exp(-z))
-                if score >= least:
-                    out.append({"start": m.start(), "end": m.end(), "score": float(score)})
-        return out
+        return self.scored(text, least)[1]
+
+    def scored(self, text: str, least: float | None = None) -> tuple[float, list[dict]]:
+        """Score of the document and, with ``least``, its offending sentences, in one pass."""
+        if self.model.weights is None:
+            return self.model.share if len(instances(text, self.hasher)[0]) else 0.0, []
+        numbers, logits = self.sentences(text)
+        score, out = float(-np.expm1(-np.logaddexp(0, logits).sum())), []
+        if least is not None:
+            scores = np.exp(-np.logaddexp(0, -logits))
+            found = np.flatnonzero(scores >= least)
+            ends = [-1, *(m.start() for m in SENTENCE_END.finditer(text)), len(text)] if len(found) else []
+            for i in found.tolist():
+                n = int(numbers[i])
+                out.append({"start": ends[n] + 1, "end": ends[n + 1], "score": float(scores[i])})
+        return score, out
 
 
 def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic") -> ToxicityModel:
@@ -169,10 +181,10 @@ def score_toxicity(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            found = texts(batch, "text")
-            out = [batch.column("doc_id"), pa.array([scorer.document(t) for t in found], pa.float64())]
+            found = [scorer.scored(t, least) for t in texts(batch, "text")]
+            out = [batch.column("doc_id"), pa.array([score for score, _ in found], pa.float64())]
             if least is not None:
-                out.append(pa.array([scorer.located(t, least) for t in found], span))
+                out.append(pa.array([spans for _, spans in found], span))
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "score", "offending"][: len(out)])
 
     return rows.mapInArrow(run, schema)

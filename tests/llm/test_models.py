@@ -57,6 +57,27 @@ def test_located_sentences():
     assert scorer.document("") == 0 and scorer.located("...", 0) == []
 
 
+def test_located_sentences_one_by_one():
+    clean, toxic = "a calm line here. ", "you are a wug today. "
+    scorer = toxicity.Scorer(toxicity.fit(Sample([(clean * 3, 0), (clean + toxic + clean, 1)] * 40, 0.5)))
+    text = f"...\n\n{clean}İstanbul 你好… {toxic}?!{clean * 30}You are a WUG!\nlast wug"
+    alone = [(m.start(), m.end()) for m in re.finditer(r"[^.!?\n]+", text) if scorer.document(m.group()) >= 0.5]
+    score, spans = scorer.scored(text, 0.5)
+    assert len(alone) >= 2 and [(x["start"], x["end"]) for x in spans] == alone
+    assert score == scorer.document(text) and scorer.scored(text)[1] == []
+
+
+def test_toxicity_query_locates_the_sentences(spark):
+    found = QUERIES["op7_toxicity"](spark, "/root/testdata/sf0.01")
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    rows = found.collect()
+    assert len(rows) == 1_000 and any(r["offending"] for r in rows)
+    for r in rows:
+        ends = [0, *(x for s in r["offending"] for x in (s["start"], s["end"])), len(texts[r["doc_id"]])]
+        assert ends == sorted(ends) and all(0.5 <= s["score"] <= r["score"] + 1e-9 for s in r["offending"])
+        assert r["predicted"] or not r["offending"]
+
+
 def test_compression_features_follow_the_dictionaries():
     good, bad = "the river runs to the sea and rests. ", "BUY!! NOW!! CHEAP!! "
     sample = Sample([(good * n, 1) for n in range(2, 40)] + [(bad * n, 0) for n in range(2, 40)], 0.5)
