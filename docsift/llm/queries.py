@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm import bpe, fingerprints, licences, mixing, neardup, quality, rules, sharding, toxicity, warc
+from docsift.llm import bpe, fim, fingerprints, licences, mixing, neardup, quality, rules, sharding, toxicity, warc
 from docsift.llm.common import held_out, read
 from docsift.session import new_path
 from docsift.sources.store import materialize
@@ -171,3 +171,41 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = found.join(classes.distinct(), same).drop("of_id", "of_node", "node")
     digests = {c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")}
     return found.withColumns(digests)
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fim.fill_in_middle(read(spark, sf_dir, "documents"))
+    digests = {"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(fim.restored(), 256)}
+    return found.withColumns(digests).drop("output")
+
+
+SQL["op13_fill_in_middle"] = f"""
+WITH units AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+           sha256('{fim.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS digest
+    FROM documents
+), drawn AS (
+    SELECT *, len(u)::BIGINT AS n,
+           {", ".join(f"('0x' || substr(digest, {8 * i + 1}, 8))::BIGINT AS h{i + 1}" for i in range(4))}
+    FROM units
+), formed AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                     OR h3 % 100 >= {fim.TRANSFORMED} THEN 'plain'
+                WHEN h4 % 100 < {fim.SUFFIX_FIRST} THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+), parted AS (
+    SELECT *, coalesce(array_to_string(u[1:low], ''), '') AS prefix,
+           coalesce(array_to_string(u[low + 1:high], ''), '') AS middle,
+           coalesce(array_to_string(u[high + 1:n], ''), '') AS suffix
+    FROM formed
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+              ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parted
+"""
