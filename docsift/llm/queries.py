@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm import bpe, fim, fingerprints, licences, mixing, neardup, quality, rules, sharding, toxicity, warc
+from docsift.llm import bpe, fim, fingerprints, licences, mixing, neardup, negatives, quality, rules, sharding, toxicity, warc
 from docsift.llm.common import held_out, read
 from docsift.session import new_path
 from docsift.sources.store import materialize
@@ -173,6 +173,37 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns(digests)
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings").withColumn("label", label)
+    return negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+SQL["op12_hard_negatives"] = f"""
+WITH usable AS (
+    SELECT vec_id::BIGINT AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor({negatives.SCALE} * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.id AS anchor_id, b.id, a.label = b.label AS same,
+           list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::BIGINT AS score
+    FROM usable a JOIN usable b ON a.id % 100 = 0 AND a.id <> b.id AND len(a.v) = len(b.v)
+), positives AS (
+    SELECT * FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= {negatives.POSITIVES}
+)
+SELECT p.anchor_id, p.id AS positive_id,
+       (row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id))::INT AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+     AND {negatives.LOWEST} * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= {negatives.NEGATIVES}
+"""
+
+
 @query
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fim.fill_in_middle(read(spark, sf_dir, "documents"))
