@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm import bpe, fim, fingerprints, licences, mixing, neardup, negatives, quality, rules, sharding, toxicity, warc
+from docsift.llm import bpe, fim, fingerprints, licences, mixing, nearest, neardup, negatives, quality, rules, sharding, toxicity, warc
 from docsift.llm.common import held_out, read
 from docsift.session import new_path
 from docsift.sources.store import materialize
@@ -173,6 +173,12 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns(digests)
 
 
+@query
+def op11_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    return nearest.nearest(rows, rows.filter("vec_id % 20 = 0"))
+
+
 @query
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
