@@ -43,10 +43,11 @@ LEAF = 256
 LEAVES = 4_096
 #: How far a query looks: squared distance to planes for each level, in variances of a neighbour's offset.
 REACH = 0.1
-#: Nodes of a group of leaves.
-GROUP = 8_192
-#: Queries compared at once, and rows handed on at once.
+#: Nodes of a cell at most; few large cells, because each one hands on its best of every query it meets.
+GROUP = 1 << 16
+#: Queries led to their leaves at once, scores held at once, and rows handed on at once.
 QUERIES = 256
+SCORES = 1 << 22
 ROWS_OUT = 4_096
 #: Answers that may be broadcast to their queries.
 LISTS = 20_000
@@ -266,8 +267,9 @@ def _compared(meetings: DataFrame, keep: int) -> DataFrame:
         return leaf, first, whole.column("node").combine_chunks(), np.concatenate([matrix(p) for p in parts])
 
     def answers(batch: pa.RecordBatch, leaf, first, nodes, vectors) -> Iterator[pa.RecordBatch]:
-        for at in range(0, batch.num_rows, QUERIES):
-            some = batch.slice(at, QUERIES)
+        step = max(1, SCORES // len(leaf))
+        for at in range(0, batch.num_rows, step):
+            some = batch.slice(at, step)
             asked = matrix(some)
             leaves = some.column("leaves")
             where = np.repeat(np.arange(some.num_rows), leaves.value_lengths().to_numpy())
@@ -344,7 +346,8 @@ def nearest(
     counted = nodes.select("vector").mapInArrow(assign, f"vector {vector}, tree int, leaf int")
     for row in counted.groupBy("tree", "leaf").count().collect():  # at most trees times leaves
         sizes[row["tree"], row["leaf"]] = row["count"]
-    cells = Cells.of_sizes(sizes, group)
+    tasks = spark.sparkContext.defaultParallelism
+    cells = Cells.of_sizes(sizes, min(group, max(forest.trees * count // tasks, leaf)))
     indexed = nodes.select("node", "vector", "first").mapInArrow(
         assign, f"{head}, first long, tree int, leaf int, cell int, parts int"
     )
