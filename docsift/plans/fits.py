@@ -5,11 +5,9 @@ from __future__ import annotations
 import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
@@ -23,6 +21,8 @@ from docsift.functions import vectors as V
 from docsift.operators import classify as C
 from docsift.operators import evaluate as E
 from docsift.operators import features as X
+from docsift.operators import linear as LN
+from docsift.sources.store import materialize
 
 # Parameter grids, tree counts and seed.
 SEED = 42
@@ -80,7 +80,8 @@ def logistic_regression(n: int, c: float = 1.0, max_iter: int = 1000) -> Logisti
     )
 
 
-def linear_svm(n: int, c: float = 1.0, max_iter: int = 100, parallelism: int = 4) -> OneVsRest:
+def linear_svm(n: int, c: float = 1.0, max_iter: int = 2000, parallelism: int = 4) -> OneVsRest:
+    """The library's SVM, which minimises plain hinge loss; ``operators.linear`` fits the squared one."""
     svc = LinearSVC(standardization=False, regParam=1.0 / (c * n), maxIter=max_iter, tol=TOLERANCE)
     return OneVsRest(classifier=svc, weightCol="weight", parallelism=parallelism)
 
@@ -209,6 +210,8 @@ def platt_scaling(margins: DataFrame, by: Sequence[str], steps: int = 100, toler
         det = haa * hbb - merged["hab"] ** 2
         da = -(hbb * merged["ga"] - merged["hab"] * merged["gb"]) / det
         db = -(haa * merged["gb"] - merged["hab"] * merged["ga"]) / det
+        # where margins separate the classes the curve is nearly flat: no step is longer than one
+        da, db = da.clip(-1.0, 1.0), db.clip(-1.0, 1.0)
         state = merged[[*by, "pos", "neg"]].assign(a=merged["a"] + da, b=merged["b"] + db)
         if max(da.abs().max(), db.abs().max()) < tolerance:
             return state
@@ -220,63 +223,53 @@ def platt_scaling(margins: DataFrame, by: Sequence[str], steps: int = 100, toler
 class CalibratedSvm:
     """One SVM and one sigmoid per class and fold; probabilities are averaged."""
 
-    models: list
+    fits: LN.LinearFits
     sigmoids: list[list[tuple[float, float]]]
-    classes: list
     name: str = "Calibrated SVM"
 
 
-def _margins(model: Model, rows: DataFrame) -> DataFrame:
-    return model.transform(rows).withColumn("margins", vector_to_array("rawPrediction"))
-
-
 def fit_calibrated_svm(
-    train: TrainingSet, c: float = 1.0, folds: int = 5, max_iter: int = 100, parallelism: int = 5
+    blocks: LN.Blocks, rows: DataFrame, label: str = "category", c: float = 1.0, folds: int = 5
 ) -> CalibratedSvm:
-    """Folds are independent, so their fits are submitted side by side."""
-
-    def fit_fold(k: int) -> Model:
-        return linear_svm(train.n, c, max_iter).fit(train.rows.filter(F.col("fold") != k))
-
-    spark = train.rows.sparkSession
-    with ThreadPool(parallelism) as pool:
-        models = pool.map(inheritable_thread_target(spark)(fit_fold), range(folds))
-    held_out = None
-    for k, model in enumerate(models):
-        part = _margins(model, train.rows.filter(F.col("fold") == k)).select(
-            F.lit(k).alias("fold"), "label", F.posexplode("margins").alias("class", "margin")
-        )
-        held_out = part if held_out is None else held_out.unionByName(part)
-    positive = F.col("label") == F.col("class")
-    held_out = held_out.select("fold", "class", "margin", positive.alias("positive")).persist()
-    state = platt_scaling(held_out, ["fold", "class"]).set_index(["fold", "class"])
-    held_out.unpersist()
+    """The SVMs of all folds in shared passes, then sigmoids of the margins of the rows that they did not see.
+
+    ``rows`` are those of the blocks, with ``features``, ``label`` and ``fold``.
+    """
+    fits = LN.fit(blocks, [LN.Problem(c, k) for k in range(folds)], LN.HINGE)
+    k = len(fits.classes)
+    own = F.slice("margins", F.col("fold") * k + 1, k)
+    unseen = LN.margins(rows.dropna(subset=[label]), fits.weights, "fold", label).select(
+        F.col("fold").cast("int").alias("fold"), label, F.posexplode(own).alias("class", "margin")
+    )
+    positive = F.array_position(C.class_array(fits.classes), F.col(label)) - 1 == F.col("class")
+    unseen = materialize(unseen.select("fold", "class", "margin", positive.alias("positive")), "margins")
+    state = platt_scaling(unseen, ["fold", "class"]).set_index(["fold", "class"])
     sigmoids = [
-        [(float(state.loc[(k, i), "a"]), float(state.loc[(k, i), "b"])) for i in range(len(train.classes))]
-        for k in range(folds)
+        [tuple(map(float, state.loc[(f, i), ["a", "b"]])) if (f, i) in state.index else (0.0, 0.0) for i in range(k)]
+        for f in range(folds)
     ]
-    return CalibratedSvm(models, sigmoids, train.classes)
+    return CalibratedSvm(fits, sigmoids)
 
 
-def score_calibrated_svm(model: CalibratedSvm, rows: DataFrame, row_id: str, *keep: str) -> DataFrame:
-    """Adds one margin column per fold model, then averages inside the row."""
-    kept = rows.select(row_id, *keep, "features", *(["label"] if "label" in rows.columns else []))
-    for k, svm in enumerate(model.models):
-        kept = svm.transform(kept).withColumn(f"m{k}", vector_to_array("rawPrediction")).drop("rawPrediction", "prediction")
+def score_calibrated_svm(model: CalibratedSvm, rows: DataFrame, *keep: str) -> DataFrame:
+    """``(*keep, scores, y_pred)`` of rows with ``features``."""
+    folds, k = len(model.sigmoids), len(model.fits.classes)
 
-    def probabilities(k: int):
+    def probabilities(fold: int):
         raw = F.array(
-            *[1.0 / (1.0 + F.exp(F.lit(a) * F.col(f"m{k}")[i] + F.lit(b))) for i, (a, b) in enumerate(model.sigmoids[k])]
+            *[
+                1.0 / (1.0 + F.exp(F.lit(a) * F.col("margins")[fold * k + i] + F.lit(b)))
+                for i, (a, b) in enumerate(model.sigmoids[fold])
+            ]
         )
         return F.transform(raw, lambda x: x / F.greatest(V.array_sum(raw), F.lit(1e-12)))
 
     total = probabilities(0)
-    for k in range(1, len(model.models)):
-        total = F.zip_with(total, probabilities(k), lambda x, y: x + y)
-    folds = float(len(model.models))
-    scored = kept.select(row_id, *keep, F.transform(total, lambda x: x / F.lit(folds)).alias("scores"))
-    y_pred = F.get(C.class_array(model.classes), V.argmax(F.col("scores")))
-    return scored.withColumn("y_pred", y_pred)
+    for fold in range(1, folds):
+        total = F.zip_with(total, probabilities(fold), lambda x, y: x + y)
+    found = LN.margins(rows, model.fits.weights, *keep)
+    scored = found.select(*keep, F.transform(total, lambda x: x / F.lit(float(folds))).alias("scores"))
+    return scored.withColumn("y_pred", F.get(C.class_array(model.fits.classes), V.argmax(F.col("scores"))))
 
 
 def coefficient_table(model: Model, classes: Sequence, vocabulary: DataFrame) -> DataFrame:
@@ -285,6 +278,11 @@ def coefficient_table(model: Model, classes: Sequence, vocabulary: DataFrame) ->
         matrix = model.coefficientMatrix.toArray()
     else:
         matrix = np.stack([m.coefficients.toArray() for m in model.models])
+    return coefficient_rows(vocabulary, classes, matrix)
+
+
+def coefficient_rows(vocabulary: DataFrame, classes: Sequence, matrix: np.ndarray) -> DataFrame:
+    """``(class, term, weight)`` of a matrix with one row for each class."""
     long = pd.DataFrame(
         {
             "class": np.repeat([str(c) for c in classes], matrix.shape[1]),

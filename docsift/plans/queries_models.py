@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,8 +10,8 @@ from docsift.functions import vectors as V
 from docsift.operators import classify as C
 from docsift.operators import evaluate as E
 from docsift.operators import features as X
+from docsift.operators import linear as LN
 from docsift.operators import splits as S
-from docsift.operators.embed import embed
 from docsift.plans import compare as CM
 from docsift.plans import fits as FT
 from docsift.plans import scoring as SC
@@ -517,48 +516,157 @@ def reloaded_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(metrics, *_SCORES)
 
 
+def _features(spark: SparkSession, sf: str, config: X.TfidfConfig = X.STANDARD) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Weighted terms of the training part with folds and of the test part, and the vocabulary, written once."""
+
+    def make() -> tuple[DataFrame, DataFrame, DataFrame]:
+        c = corpus(spark, sf)
+        fitted = materialize(X.fit_vocabulary(c.train_terms(), config), "vocabulary")
+        rows = materialize(S.attach_split(X.transform(c.terms, fitted, "doc_id", config), c.split, "doc_id"), "features")
+        return rows.filter(~F.col("is_test")), rows.filter("is_test"), fitted
+
+    return once(spark, sf, f"features {config}", make)
+
+
 def _training(
     spark: SparkSession, sf: str, config: X.TfidfConfig = X.STANDARD, balanced: bool = True
 ) -> tuple[FT.TrainingSet, DataFrame, DataFrame]:
     """Vectors of the training part with folds, written once, then the test part and the vocabulary."""
 
     def make() -> tuple[FT.TrainingSet, DataFrame, DataFrame]:
-        c = corpus(spark, sf)
-        fitted = materialize(X.fit_vocabulary(c.train_terms(), config), "vocabulary")
-        vectors = X.to_vectors(X.transform(c.terms, fitted, "doc_id", config), config.max_features)
-        rows = S.attach_split(vectors, c.split, "doc_id")
-        kept = materialize(spread(rows.filter(~F.col("is_test")), "doc_id"), "train", rows.schema)
-        train = FT.training_set(kept, "category", balanced)
-        return train, materialize(rows.filter("is_test"), "test", rows.schema), fitted
+        train, test, fitted = _features(spark, sf, config)
+        kept = X.to_vectors(spread(train, "doc_id"), config.max_features)
+        return FT.training_set(kept, "category", balanced), X.to_vectors(test, config.max_features), fitted
 
     return once(spark, sf, f"training set {config} {balanced}", make)
 
 
+def _blocks(spark: SparkSession, sf: str, config: X.TfidfConfig = X.STANDARD, balanced: bool = True) -> LN.Blocks:
+    """The training part packed for the linear fits."""
+
+    def make() -> LN.Blocks:
+        train, _, _ = _features(spark, sf, config)
+        classes = list(C.class_counts(train, "category"))
+        return LN.pack(spread(train, "doc_id"), "category", classes, config.max_features, "fold", balanced)
+
+    return once(spark, sf, f"blocks {config} {balanced}", make)
+
+
+#: Values of C and loss of the linear models.
+_LINEAR = {"Logistic Regression": (FT.LR_GRID, LN.SOFTMAX), "Linear SVM": (FT.SVM_GRID, LN.HINGE)}
+
+
+def _linear_fit(spark: SparkSession, sf: str, name: str) -> LN.LinearFits:
+    """One fit with C = 1 on the whole training part."""
+    make = lambda: LN.fit(_blocks(spark, sf), [LN.Problem(1.0)], _LINEAR[name][1])
+    return once(spark, sf, f"fit of {name}", make)
+
+
+def _linear_grid(spark: SparkSession, sf: str, name: str) -> LN.LinearFits:
+    """Every value of C without each of the five folds, and on the whole training part, in shared passes."""
+
+    def make() -> LN.LinearFits:
+        values, loss = _LINEAR[name]
+        left_out = [*range(5), LN.NONE_LEFT_OUT]
+        return LN.fit(_blocks(spark, sf), [LN.Problem(c, f) for c in values for f in left_out], loss)
+
+    return once(spark, sf, f"grid of {name}", make)
+
+
+def _linear_test(spark: SparkSession, sf: str, fits: LN.LinearFits, c: float) -> DataFrame:
+    test = _features(spark, sf)[1].withColumnRenamed("category", "y_true")
+    return LN.predictions(test, fits, LN.Problem(c), "doc_id", "y_true")
+
+
 def _test_metrics(spark: SparkSession, sf: str, name: str, model) -> DataFrame:
     train, test, _ = _training(spark, sf)
     rows = FT.predictions(model, test.withColumnRenamed("category", "y_true"), train.classes, "doc_id", "y_true")
     return rounded(E.model_metrics(rows.withColumn("model", F.lit(name))), *_SCORES)
 
 
+def _linear_metrics(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """Test metrics of the fit with C = 1."""
+    rows = _linear_test(spark, sf, _linear_fit(spark, sf, name), 1.0)
+    return rounded(E.model_metrics(rows.withColumn("model", F.lit(name))), *_SCORES)
+
+
 @query("M4")
 def logistic_regression_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    train, _, _ = _training(spark, sf)
-    model = once(spark, sf, "lr", lambda: FT.logistic_regression(train.n).fit(train.rows))
-    return _test_metrics(spark, sf, "Logistic Regression", model)
+    return _linear_metrics(spark, sf, "Logistic Regression")
 
 
 @query("M5")
 def linear_svm_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    train, _, _ = _training(spark, sf)
-    model = once(spark, sf, "svm", lambda: FT.linear_svm(train.n).fit(train.rows))
-    return _test_metrics(spark, sf, "Linear SVM", model)
+    return _linear_metrics(spark, sf, "Linear SVM")
+
+
+_CLASS_SIZES = f"""WITH {Q.USABLE}, {Q.ranked('usable', 'lang')}, sizes AS (
+  SELECT category AS class, count(*) AS documents, sum(count(*)) OVER () AS n, count(*) OVER () AS k
+  FROM split WHERE NOT is_test GROUP BY category)"""
+
+
+@query(
+    "M4",
+    f"""{_CLASS_SIZES} SELECT c, class, documents, round(n / (k * documents), 6) AS weight,
+  round(documents * (n / (k * documents)) / n, 3) AS probability FROM sizes, (SELECT unnest([0.1, 1.0, 5.0])::DOUBLE AS c)""",
+)
+def regression_probabilities(spark: SparkSession, sf: str) -> DataFrame:
+    """What a fitted regression predicts for the training documents, in all, weighted as in the fit.
+
+    Where the free intercepts are optimal, the predicted probabilities of a class add
+    up to the weights of its documents, which follow from the data alone.
+    """
+    fits, train = _linear_grid(spark, sf, "Logistic Regression"), _features(spark, sf)[0]
+    blocks = _blocks(spark, sf)
+    weight = dict(zip(blocks.classes, blocks.class_weights(LN.Problem(1.0)).tolist(), strict=True))
+    sizes = dict(zip(blocks.classes, blocks.class_sizes(LN.Problem(1.0)).astype(int).tolist(), strict=True))
+    weights = F.get(F.array(*[F.lit(weight[k]) for k in blocks.classes]), F.array_position(C.class_array(blocks.classes), F.col("category")).cast("int") - 1)
+    found = None
+    for c in FT.LR_GRID:
+        rows = LN.predictions(train, fits, LN.Problem(c), "category").select(
+            F.lit(float(c)).alias("c"), weights.alias("w"), F.posexplode("scores").alias("at", "p")
+        )
+        found = rows if found is None else found.unionByName(rows)
+    names = C.class_array(blocks.classes)
+    counts = F.get(F.array(*[F.lit(sizes[k]).cast("long") for k in blocks.classes]), F.col("at"))
+    own = F.get(F.array(*[F.lit(weight[k]) for k in blocks.classes]), F.col("at"))
+    share = found.groupBy("c", "at").agg((F.sum(F.col("w") * F.col("p")) / F.sum("w")).alias("probability"))
+    rows = share.select("c", F.get(names, F.col("at")).alias("class"), counts.alias("documents"), own.alias("weight"), "probability")
+    return rounded(rounded(rows, "weight"), "probability", places=3)
+
+
+def _certified(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """One row for each C and class: rows and weight of the fit, and whether its gradient is small enough."""
+    fits, blocks = _linear_grid(spark, sf, name), _blocks(spark, sf)
+    shares = dict(zip(fits.problems, LN.optimality(blocks, fits), strict=True))
+    rows = []
+    for problem, share in shares.items():
+        if problem.left_out == LN.NONE_LEFT_OUT:
+            least = all(s <= 1.01e-4 for p, s in shares.items() if p.c == problem.c)
+            sizes, weight = blocks.class_sizes(problem), blocks.class_weights(problem)
+            rows += [
+                (problem.c, str(k), int(n), round(float(w), 6), least)
+                for k, n, w in zip(blocks.classes, sizes, weight, strict=True)
+            ]
+    return spark.createDataFrame(rows, "c double, class string, documents long, weight double, optimal boolean")
+
+
+@query(
+    "M5",
+    f"""{_CLASS_SIZES} SELECT c, class, documents, round(n / (k * documents), 6) AS weight, true AS optimal
+  FROM sizes, (SELECT unnest([0.1, 0.5, 1.0, 2.0])::DOUBLE AS c)""",
+)
+def svm_optimality(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums the gradient of every fit of the grid again from its weights; the optimum is the only place where it vanishes."""
+    return _certified(spark, sf, "Linear SVM")
 
 
 @query("M6")
 def calibrated_svm_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """The small vectoriser and equal weights, as the reference calibrates."""
-    train, test, _ = _training(spark, sf, X.SMALL, balanced=False)
-    model = FT.fit_calibrated_svm(train)
+    train, test, _ = _features(spark, sf, X.SMALL)
+    blocks = _blocks(spark, sf, X.SMALL, balanced=False)
+    model = FT.fit_calibrated_svm(blocks, train)
     rows = FT.score_calibrated_svm(model, test.withColumnRenamed("category", "y_true"), "doc_id", "y_true")
     return rounded(E.model_metrics(rows.withColumn("model", F.lit(model.name))), *_SCORES)
 
@@ -570,62 +678,72 @@ def random_forest_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return _test_metrics(spark, sf, "Random Forest", model)
 
 
-def _search(spark: SparkSession, sf: str, name: str):
-    """The grid of one model over five folds, refitted with its best point."""
-    train, _, _ = _training(spark, sf)
+def _forest_search(spark: SparkSession, sf: str):
+    """The grid of the forest over five folds, refitted with its best point."""
 
     def fit():
-        if name == "Logistic Regression":
-            model = FT.logistic_regression(train.n)
-            grid = FT.regression_grid(model, train.n)
-        elif name == "Linear SVM":
-            model = FT.linear_svm(train.n)
-            grid = FT.svm_grid(model, train.n)
-        else:
-            model = FT.random_forest()
-            grid = FT.forest_grid(model)
-        return FT.grid_search(model, grid, train.rows)
-
-    return once(spark, sf, f"grid of {name}", fit)
-
-
-def _search_scores(spark: SparkSession, sf: str, name: str, points: list[tuple], schema: str) -> DataFrame:
-    """Mean macro F1 of each grid point over five folds."""
-    found = _search(spark, sf, name)
-    scores = [(*p, float(m)) for p, m in zip(points, found.avgMetrics, strict=True)]
-    return rounded(spark.createDataFrame(scores, f"{schema}, cv_f1_macro double"), "cv_f1_macro")
+        model = FT.random_forest()
+        return FT.grid_search(model, FT.forest_grid(model), _training(spark, sf)[0].rows)
+
+    return once(spark, sf, "grid of Random Forest", fit)
+
+
+def _linear_scores(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """``(c, cv_f1_macro)``: macro F1 of the documents of every fold, averaged over the folds."""
+    fits = _linear_grid(spark, sf, name)
+    rows = LN.out_of_fold(_features(spark, sf)[0], fits, "category")
+    scores = E.averages(E.class_metrics(rows, ["c", "fold"]), ["c", "fold"])
+    return scores.groupBy("c").agg(F.avg("f1_macro").alias("cv_f1_macro"))
+
+
+def _with_rounds(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """The scores with the most rounds that a fit took and whether all settled."""
+    fits = _linear_grid(spark, sf, name)
+    ends = {}
+    for problem, rounds, settled in zip(fits.problems, fits.rounds, fits.converged, strict=True):
+        most, all_ = ends.get(problem.c, (0, True))
+        ends[problem.c] = max(most, rounds), all_ and settled
+    ends = spark.createDataFrame([(c, *e) for c, e in ends.items()], "c double, rounds int, converged boolean")
+    return rounded(_linear_scores(spark, sf, name).join(F.broadcast(ends), "c"), "cv_f1_macro")
 
 
 @query("M9")
 def grid_search_scores(spark: SparkSession, sf: str) -> DataFrame:
     """The grid of the regression."""
-    return _search_scores(spark, sf, "Logistic Regression", [(float(c),) for c in FT.LR_GRID], "c double")
+    return _with_rounds(spark, sf, "Logistic Regression")
 
 
 @query("M5 M9")
 def svm_grid_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return _search_scores(spark, sf, "Linear SVM", [(float(c),) for c in FT.SVM_GRID], "c double")
+    return _with_rounds(spark, sf, "Linear SVM")
 
 
 @query("M8 M9")
 def forest_grid_scores(spark: SparkSession, sf: str) -> DataFrame:
     points = [(d, m) for d in FT.FOREST_DEPTHS for m in FT.FOREST_MIN_ROWS]
-    return _search_scores(spark, sf, "Random Forest", points, "max_depth int, min_rows int")
+    found = _forest_search(spark, sf)
+    scores = [(*p, float(m)) for p, m in zip(points, found.avgMetrics, strict=True)]
+    return rounded(spark.createDataFrame(scores, "max_depth int, min_rows int, cv_f1_macro double"), "cv_f1_macro")
 
 
 @query("M9 M11")
 def trained_models(spark: SparkSession, sf: str) -> DataFrame:
     """All four models by grid search and refit, on the same test documents."""
-    train, test, _ = _training(spark, sf)
-    rows = test.withColumnRenamed("category", "y_true")
 
-    def searched(name: str):
+    def linear(name: str):
         def fit():
-            model = _search(spark, sf, name).bestModel
-            return lambda: FT.predictions(model, rows, train.classes, "doc_id", "y_true")
+            fits = _linear_grid(spark, sf, name)
+            best = _linear_scores(spark, sf, name).orderBy(F.desc(F.round("cv_f1_macro", 12)), "c").first()["c"]
+            return lambda: _linear_test(spark, sf, fits, best)
 
         return fit
 
+    def forest():
+        train, test, _ = _training(spark, sf)
+        model = _forest_search(spark, sf).bestModel
+        rows = test.withColumnRenamed("category", "y_true")
+        return lambda: FT.predictions(model, rows, train.classes, "doc_id", "y_true")
+
     def bayes():
         c = corpus(spark, sf)
         means = E.cv_summary(_grid_scores(spark, sf), "f1_macro", ["alpha"])
@@ -633,53 +751,33 @@ def trained_models(spark: SparkSession, sf: str) -> DataFrame:
         model = C.fit_naive_bayes(c.train_terms(), "doc_id", "category", alpha)
         return lambda: C.score_naive_bayes(c.test_terms().withColumnRenamed("category", "y_true"), model, "doc_id")
 
-    fits = {name: searched(name) for name in ("Logistic Regression", "Linear SVM", "Random Forest")}
-    found, seconds = CM.run_models(fits | {"Naive Bayes": bayes})
+    found, seconds = CM.run_models(
+        {name: linear(name) for name in _LINEAR} | {"Random Forest": forest, "Naive Bayes": bayes}
+    )
     return rounded(CM.results_table(found, seconds), *_SCORES)
 
 
 @query("W7")
 def top_class_coefficients(spark: SparkSession, sf: str) -> DataFrame:
-    train, _, fitted = _training(spark, sf)
-    model = once(spark, sf, "lr", lambda: FT.logistic_regression(train.n).fit(train.rows))
-    return rounded(FT.top_class_terms(FT.coefficient_table(model, train.classes, fitted)), "weight")
+    fits, fitted = _linear_fit(spark, sf, "Logistic Regression"), _features(spark, sf)[2]
+    weights = FT.coefficient_rows(fitted, fits.classes, fits.weights[:-1].T)
+    return rounded(FT.top_class_terms(weights), "weight")
 
 
 @query("M17")
 def embedding_regression_metrics(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "embeddings")
-    split = S.stratified_split(rows, "vec_id", "label").withColumn("features", array_to_vector("embedding"))
-    split = materialize(split.drop("embedding"), "embedding-vectors")
-    train = FT.training_set(split.filter(~F.col("is_test")).withColumnRenamed("label", "category"), "category")
-    model = FT.logistic_regression(train.n).fit(train.rows)
+    features = F.transform("embedding", lambda x, i: F.struct(i.alias("idx"), x.cast("double").alias("weight")))
+    split = S.stratified_split(rows, "vec_id", "label").select("vec_id", "label", "is_test", features.alias("features"))
+    split = materialize(split, "embedding-features")
+    train = split.filter(~F.col("is_test"))
+    width = split.agg(F.max(F.size("features"))).first()[0]
+    fits = LN.fit(LN.pack(train, "label", list(C.class_counts(train, "label")), width), [LN.Problem(1.0)], LN.SOFTMAX)
     test = split.filter("is_test").withColumnRenamed("label", "y_true")
-    predicted = FT.predictions(model, test, train.classes, "vec_id", "y_true")
+    predicted = LN.predictions(test, fits, LN.Problem(1.0), "vec_id", "y_true")
     return rounded(E.model_metrics(predicted.withColumn("model", F.lit("Embedding + LR"))), *_SCORES)
 
 
-@query("M16")
-def encoded_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """A small stand-in for a sentence encoder adds up the word hashes of the whole text."""
-
-    def load_encoder():
-        import zlib
-
-        import numpy as np
-
-        def encode(texts, _):
-            out = np.zeros((len(texts), 64))
-            for i, text in enumerate(texts):
-                for word in text.lower().split():
-                    code = zlib.crc32(word.encode())
-                    out[i, code % 64] += 1.0 if code & 64 else -1.0
-            return out
-
-        return encode
-
-    rows = embed(documents(spark, sf, "text"), "doc_id", "text", load_encoder)
-    return rows.select("doc_id", F.size("embedding").alias("dims"), F.round(V.l2_norm(F.col("embedding")), 4).alias("norm"))
-
-
 _GRID = f"""WITH {_TRAIN}, {Q.WEIGHTS},
 tw AS MATERIALIZED (SELECT w.doc_id, w.category, w.term, w.weight, split.fold FROM weights w JOIN split USING (doc_id) WHERE NOT is_test),
 folds AS (SELECT DISTINCT fold FROM split), alphas AS (SELECT unnest([0.01, 0.1, 0.5, 1.0])::DOUBLE AS alpha),

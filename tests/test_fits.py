@@ -5,6 +5,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from docsift.operators import evaluate as E
+from docsift.operators import linear as LN
 from docsift.plans import compare as CM
 from docsift.plans import fits as FT
 
@@ -45,14 +46,24 @@ def test_models_learn(training, make):
         assert math.isclose(sum(r["scores"]), 1.0, rel_tol=1e-6)
 
 
-def test_calibration(training):
-    model = FT.fit_calibrated_svm(training, folds=3, max_iter=10)
-    rows = training.rows.withColumnRenamed("category", "y_true")
-    out = FT.score_calibrated_svm(model, rows, "id", "y_true").collect()
+def test_calibration(spark):
+    rows = labelled(spark, 90)
+    blocks = LN.pack(rows, "category", ["a", "b", "c"], 3, "fold", balanced=False)
+    model = FT.fit_calibrated_svm(blocks, rows, folds=3)
+    out = FT.score_calibrated_svm(model, rows.withColumnRenamed("category", "y_true"), "id", "y_true").collect()
     assert all(math.isclose(sum(r["scores"]), 1.0, rel_tol=1e-9) for r in out)
     assert sum(r["y_true"] == r["y_pred"] for r in out) / len(out) > 0.95
 
 
+def labelled(spark, n):
+    rows = []
+    for i in range(n):
+        c = "abc"[0 if i < n // 2 else 1 if i < n * 5 // 6 else 2]
+        values = [0.1 * ((i * 7 + j) % 5) + (1.0 if j == "abc".index(c) else 0.0) for j in range(3)]
+        rows.append((i, c, i % 3, list(enumerate(values))))
+    return spark.createDataFrame(rows, "id int, category string, fold int, features array<struct<idx:int,weight:double>>")
+
+
 def test_platt_separates(spark):
     rows = [(0, float(m), (m > 0) != (m % 7 == 0)) for m in range(-40, 41)]
     df = spark.createDataFrame(rows, "g int, margin double, positive boolean")

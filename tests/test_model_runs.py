@@ -6,6 +6,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 
 from docsift.operators import features as X
+from docsift.operators import linear as LN
 from docsift.plans import all_queries, fits as FT
 from docsift.plans import queries_models as QM
 
@@ -26,15 +27,15 @@ def test_calibration_is_small_and_unweighted(spark, small, monkeypatch):
     class Fitted(Exception):
         pass
 
-    def fit(train):
-        seen.append(train)
+    def fit(blocks, rows):
+        seen.append(blocks)
         raise Fitted
 
     monkeypatch.setattr(FT, "fit_calibrated_svm", fit)
     with pytest.raises(Fitted):
         QM.calibrated_svm_metrics(spark, small)
-    assert {r["weight"] for r in seen[0].rows.select("weight").distinct().collect()} == {1.0}
-    assert seen[0].rows.first()["features"].size == 5_000
+    assert seen[0].class_weights(LN.Problem(1.0)).tolist() == [1.0] * len(seen[0].classes)
+    assert seen[0].width == 5_000
 
 
 @pytest.fixture
@@ -56,7 +57,7 @@ def quick(spark, small, monkeypatch):
     monkeypatch.setattr(FT, "grid_search", Found)
     monkeypatch.setattr(QM, "_training", lambda *_: kept)
     real_once = QM.once
-    own = lambda name: name == "forest" or name.startswith("grid of")
+    own = lambda name: name in ("forest", "grid of Random Forest")
     monkeypatch.setattr(QM, "once", lambda s, d, n, make: make() if own(n) else real_once(s, d, n, make))
     return asked
 
@@ -85,4 +86,7 @@ def test_trained_models(spark, small, quick):
     found = {r["model"]: r for r in QM.trained_models(spark, small).collect()}
     assert set(found) == {"Logistic Regression", "Linear SVM", "Random Forest", "Naive Bayes"}
     assert len({r["num_test_samples"] for r in found.values()}) == 1
-    assert ("OneVsRest", 4) in quick and ("LogisticRegression", 3) in quick and ("RandomForestClassifier", 2) in quick
+    assert ("RandomForestClassifier", 2) in quick
+    for name, points in (("Linear SVM", 4), ("Logistic Regression", 3)):
+        fits = QM._linear_grid(spark, small, name)
+        assert len(fits.problems) == points * 6 and all(fits.converged)
