@@ -10,21 +10,23 @@ from pyspark.sql import functions as F
 
 from docsift.sources.store import broadcast_within, within
 
+#: Classes that a class list or a broadcast dimension may have unless the caller says otherwise.
 MAX_CLASSES = 1_000
 
 
-def class_names(df: DataFrame, category: str) -> list:
-    """Distinct classes in order, as the fixed class list of a model."""
-    rows = df.select(category).dropna().distinct().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{category} has more than {MAX_CLASSES} classes; it is not a class label")
+def class_names(df: DataFrame, category: str, most: int | None = None) -> list:
+    """Distinct classes in order, as the fixed class list of a model; more than ``most`` are refused."""
+    most = MAX_CLASSES if most is None else most
+    rows = df.select(category).dropna().distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{category} has more than {most} classes; allow more if it is a class label")
     return sorted(r[0] for r in rows)
 
 
-def per_class(df: DataFrame, category: str) -> Callable[[DataFrame], DataFrame]:
+def per_class(df: DataFrame, category: str, most: int | None = None) -> Callable[[DataFrame], DataFrame]:
     """How to mark a table with one row per class for a join: broadcast when the
     column really has few classes (checked by a scan of that column), else not at all."""
-    few = within(df.select(category).distinct(), MAX_CLASSES)
+    few = within(df.select(category).distinct(), MAX_CLASSES if most is None else most)
     return F.broadcast if few else lambda table: table
 
 

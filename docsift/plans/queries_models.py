@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docsift.functions import text as T
 from docsift.functions import vectors as V
 from docsift.operators import classify as C
+from docsift.operators import embed as EM
 from docsift.operators import evaluate as E
 from docsift.operators import features as X
 from docsift.operators import linear as LN
@@ -778,6 +779,20 @@ def embedding_regression_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(E.model_metrics(predicted.withColumn("model", F.lit("Embedding + LR"))), *_SCORES)
 
 
+@query(
+    "M16",
+    f"""WITH words AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+')) AS word FROM documents),
+codes AS (SELECT doc_id, ('0x' || substr(md5(word), 1, 8))::BIGINT AS code FROM words),
+slots AS (SELECT doc_id, code % 64 AS slot, sum(CASE WHEN code // 64 % 2 = 1 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END) AS value FROM codes GROUP BY ALL)
+SELECT d.doc_id, CAST(64 AS INTEGER) AS dims, round(sqrt(coalesce(sum(value * value), 0)), 4) AS norm
+FROM documents d LEFT JOIN slots USING (doc_id) GROUP BY d.doc_id""",
+)
+def encoded_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The word hashes of whole texts as vectors, in place of a sentence encoder that the user brings."""
+    rows = EM.hashed_vectors(documents(spark, sf, "text"), "doc_id", "text")
+    return rows.select("doc_id", F.size("embedding").alias("dims"), F.round(V.l2_norm(F.col("embedding")), 4).alias("norm"))
+
+
 _GRID = f"""WITH {_TRAIN}, {Q.WEIGHTS},
 tw AS MATERIALIZED (SELECT w.doc_id, w.category, w.term, w.weight, split.fold FROM weights w JOIN split USING (doc_id) WHERE NOT is_test),
 folds AS (SELECT DISTINCT fold FROM split), alphas AS (SELECT unnest([0.01, 0.1, 0.5, 1.0])::DOUBLE AS alpha),

@@ -110,14 +110,17 @@ def synthetic_corpus(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "S12",
-    """WITH present AS (SELECT p_brand AS category, count(*) AS n FROM part WHERE p_size > 40 AND p_retailprice < 905 GROUP BY p_brand)
-SELECT category, n FROM present UNION ALL
-SELECT DISTINCT p_brand, CAST(100 AS BIGINT) FROM part WHERE p_brand NOT IN (SELECT category FROM present)""",
+    """SELECT p_brand AS category, count(*) AS n FROM part GROUP BY p_brand
+UNION ALL SELECT n_name, CAST(100 AS BIGINT) FROM nation""",
 )
 def filled_corpus(spark: SparkSession, sf: str) -> DataFrame:
-    few = table(spark, sf, "part").filter((F.col("p_size") > 40) & (F.col("p_retailprice") < 905))
-    rows = few.select(F.col("p_brand").alias("category"), F.col("p_name").alias("text"))
-    return SY.add_missing_categories(rows, _catalogue(spark, sf)).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    """All parts by brand; the catalogue also lists nations, which no part has as its brand."""
+    rows = table(spark, sf, "part").select(F.col("p_brand").alias("category"), F.col("p_name").alias("text"))
+    nations = table(spark, sf, "nation").select(
+        F.col("n_name").alias("name"), F.concat(F.lit("Parts of "), "n_name").alias("description"), F.array("n_name").alias("skills")
+    )
+    catalogue = _catalogue(spark, sf).unionByName(nations)
+    return SY.add_missing_categories(rows, catalogue).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _text_step(spark: SparkSession, sf: str, step) -> DataFrame:
