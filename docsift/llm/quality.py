@@ -15,6 +15,7 @@ one kind only every document gets that share; without labels it is 0.5.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,9 +30,9 @@ from docsift.llm.common import Sample, labelled_sample, texts
 #: Documents of either label that may be drawn to fit; longer ones are not drawn.
 PER_LABEL = 3_000
 MAX_CHARS = 20_000
-#: Bytes of a dictionary for each view, and of the blocks in which a text is compressed:
+#: Bytes of a dictionary for each view, shared equally by the texts that build it, and of the blocks in which a text is compressed:
 #: within a short block the dictionary matters more than the text's own repetitions.
-DICTIONARY_BYTES = (400_000, 100_000)
+DICTIONARY_BYTES = (400_000, 400_000)
 BLOCK_BYTES = 2_048
 LEVEL = 3
 SHAPE = bytes(
@@ -83,9 +84,10 @@ def _compressor(data: bytes) -> zstandard.ZstdCompressor:
 
 
 def dictionary(samples: list[bytes], size: int) -> bytes:
-    """The beginnings of all samples in equal shares."""
-    share = max(256, size // max(1, len(samples)))
-    return b"".join(s[:share] for s in samples)[-size:]
+    """A piece of every sample, in equal shares of ``size``, from a place that its own bytes choose."""
+    share = max(1, size // max(1, len(samples)))
+    starts = (zlib.crc32(s) % max(1, len(s) - share + 1) for s in samples)
+    return b"".join(s[at : at + share] for s, at in zip(samples, starts, strict=True))
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, mass: np.ndarray) -> list[float]:

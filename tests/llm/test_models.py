@@ -160,3 +160,23 @@ def test_field_learns_junk_lines():
     lines = rules.read_lines(good.split("\n")[0] + "\n" + junk, rules.WordHasher())
     assert field.content(lines.features).sum() <= 1
     assert rules.verdict(good, field, rules.WordHasher())[2]
+
+
+def test_dictionaries_hold_a_piece_of_every_text_from_anywhere():
+    opening = b"the same opening of every text " * 20
+    samples = [opening + f"<{i:04d}>".encode() * 200 for i in range(500)]
+    held = quality.dictionary(samples, 50_000)
+    assert len(held) == 50_000
+    found = {i for i in range(500) if f"<{i:04d}>".encode() in held}
+    assert len(found) > 300  # about two thirds of a text follow its opening
+    assert len(quality.dictionary([b"ab", b"c" * 900], 400)) == 202
+
+
+def test_bad_text_that_begins_after_the_opening():
+    rng = __import__("random").Random(8)
+    words = [f"{a}{b}" for a in ("river", "stone", "cloud", "light", "north") for b in ("side", "fall", "path", "ward")]
+    junk = ["#$%", "@@!!", "<<>>", "|||", "~~^^"]
+    text = lambda pool, n: " ".join(rng.choice(pool) for _ in range(n))
+    rows = [(text(words, 300), 1) for _ in range(60)] + [(text(words, 90) + " " + text(junk, 400), 0) for _ in range(60)]
+    score = quality.Scorer(quality.fit(Sample(rows, 0.5)))
+    assert score(text(words, 90) + " " + text(junk, 400)) < 0.3 < score(text(words, 300))
