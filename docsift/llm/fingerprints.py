@@ -75,33 +75,53 @@ def edited(text: str, following: str) -> str:
 
 
 def fingerprints(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fingerprint)`` of every whole text as binary; no shuffle."""
-    rows = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    """``(doc_id, node, fingerprint)`` of every whole text as binary; no shuffle."""
+    rows = documents.select(
+        F.col(id_col).alias("doc_id"), text_node(text_col).alias("node"), F.col(text_col).alias("text")
+    )
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Fingerprinter()
         for batch in batches:
             prints = pa.array([make.signature(t).tobytes() for t in texts(batch, "text")], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), prints], ["doc_id", "fingerprint"])
+            columns = [batch.column("doc_id"), batch.column("node"), prints]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "fingerprint"])
 
-    return rows.mapInArrow(run, f"doc_id {id_type}, fingerprint binary")
+    return rows.mapInArrow(run, f"doc_id {id_type}, node binary, fingerprint binary")
 
 
-def near_duplicates(
-    documents: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``(doc_id, node, class_id, first_node)`` by bands of fingerprints and exact Jaccard."""
+def banded(prints: DataFrame, bands: int = BANDS) -> DataFrame:
+    """``(doc_id, node, bands)`` of a ``(doc_id, node, fingerprint)`` table; a text without words has no bands."""
+    id_type = prints.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = []
+            for held in batch.column("fingerprint").to_pylist():
+                kept = np.frombuffer(held, ">u4").astype(np.uint64)
+                keys.append([] if (kept == np.iinfo(np.uint32).max).all() else band_keys(kept, bands))
+            columns = [batch.column("doc_id"), batch.column("node"), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "bands"])
+
+    columns = prints.select("doc_id", "node", "fingerprint")
+    return columns.mapInArrow(run, f"doc_id {id_type}, node binary, bands array<bigint>")
 
-    def sign():
-        make = Fingerprinter()
 
-        def bands_of(text: str) -> np.ndarray:
-            print_ = make.signature(text).astype(np.uint64)
-            empty = (print_ == np.iinfo(np.uint32).max).all()
-            return np.zeros(0, np.int64) if empty else band_keys(print_, BANDS)
+def near_duplicates(
+    documents: DataFrame,
+    prints: DataFrame | None = None,
+    least: float = LEAST,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``(doc_id, node, class_id, first_node)`` by bands of fingerprints and exact Jaccard.
 
-        return bands_of
+    ``prints`` are the written ``(doc_id, node, fingerprint)`` of all documents where
+    they are known already, as :func:`compare_neighbours` returns them.
+    """
+    if prints is None:
+        prints = materialize(fingerprints(documents, id_col, text_col), "prints")
 
     def sketch():
         make = Fingerprinter(permutations=SKETCH)
@@ -111,7 +131,8 @@ def near_duplicates(
         make = Fingerprinter()
         return lambda text: np.unique(make.shingles(text))
 
-    return near_classes(documents, sign, sketch, profile, jaccard, least, id_col, text_col)
+    members = materialize(banded(prints), "signed")
+    return near_classes(documents, members, sketch, profile, jaccard, least, id_col, text_col)
 
 
 def jaccard(x: np.ndarray, y: np.ndarray) -> float:

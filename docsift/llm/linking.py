@@ -14,7 +14,6 @@ No bucket is capped or left out. Classes are the connected components of the lin
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +22,15 @@ from pyspark.sql import functions as F
 
 from docsift.llm.common import free_name, text_or_empty, texts
 from docsift.llm.words import mixed
-from docsift.sources.store import materialize
+from docsift.sources.store import broadcast_within, materialize
 
-#: Nodes of a bucket in a block.
+#: Nodes of a bucket in a block, and blocks that ask the same block in one task.
 BLOCK = 1_024
+TURN = 8
+#: Pairs with the same centre that are compared in one task.
+PAIRS = 256
+#: Wanted nodes up to which they are sent to the texts; beyond, the texts are sent to them.
+WANTED = 300_000
 #: Standard deviations by which the agreement of sketches may lie below the wanted similarity:
 #: a pair just at that similarity is passed over in 2 of 10,000 cases.
 DEVIATIONS = 3.6
@@ -76,19 +80,38 @@ def _sketched(node_texts: DataFrame, sketch: Callable[[], Callable[[str], bytes]
 
 
 def _measured(pairs: DataFrame, node_texts: DataFrame, profile: Callable, similarity: Callable) -> DataFrame:
-    """``(a, b, far)``: one minus the similarity of the two whole texts."""
-    joined = pairs.join(node_texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    joined = joined.join(node_texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    """``(a, b, far)``: one minus the similarity of the two whole texts of every pair.
+
+    The pairs of an ``a`` are dealt into turns of bounded number. A turn is read as a
+    stream, the text of ``a`` first, so that text moves once for a turn, not for a pair.
+    """
+    pairs = materialize(pairs, "pairs")
+    counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PAIRS).cast("int").alias("turns"))
+    turned = pairs.join(counts, "a").withColumn("turn", F.pmod(F.xxhash64("b"), F.col("turns")).cast("int"))
+    names = ["a", "turn", "is_b", "node", "text"]
+    text_b = turned.join(node_texts.select(F.col("node").alias("b"), "text"), "b").withColumn("is_b", F.lit(True))
+    text_a = counts.join(node_texts.select(F.col("node").alias("a"), "text"), "a").withColumns(
+        {"turn": F.explode(F.sequence(F.lit(0), F.col("turns") - 1)), "is_b": F.lit(False), "node": F.col("a")}
+    )
+    met = text_b.withColumnRenamed("b", "node").select(names).unionByName(text_a.select(names))
+    met = met.repartition("a", "turn").sortWithinPartitions("a", "turn", "is_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        remembered = lru_cache(maxsize=4)(profile())
+        profiled, first = profile(), None
         for batch in batches:
-            both = zip(texts(batch, "text_a"), texts(batch, "text_b"), strict=True)
-            far = [1 - similarity(remembered(x), remembered(y)) for x, y in both]
-            out = [batch.column("a"), batch.column("b"), pa.array(far, pa.float64())]
+            a, b, far = [], [], []
+            columns = (batch.column(c).to_pylist() for c in ("a", "is_b", "node"))
+            for centre, is_b, node, text in zip(*columns, texts(batch, "text"), strict=True):
+                if not is_b:
+                    first = profiled(text)
+                    continue
+                a.append(min(centre, node))
+                b.append(max(centre, node))
+                far.append(1 - similarity(first, profiled(text)))
+            out = [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(far, pa.float64())]
             yield pa.RecordBatch.from_arrays(out, ["a", "b", "far"])
 
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary, far double")
+    return met.mapInArrow(run, "a binary, b binary, far double").dropDuplicates(["a", "b"])
 
 
 def _parted(rooted: DataFrame) -> DataFrame:
@@ -109,7 +132,15 @@ def _agreeing(parted: DataFrame, sketches: DataFrame, least: float) -> DataFrame
     )
     inside = rows.groupBy("key", "block").agg(F.collect_list("packed").alias("others"))
     outside = rows.filter("outside").groupBy("key", F.col("block").alias("outer"))
-    met = outside.agg(F.collect_list("packed").alias("asked")).join(inside, "key").select("asked", "others")
+    outside = outside.agg(F.collect_list("packed").alias("asked"))
+    # pairs of blocks are dealt by bucket, block and a bounded number of blocks that ask
+    turn = F.floor(F.col("outer") / TURN).alias("turn")
+    turns = rows.filter("outside").select("key", F.floor(F.col("block") / TURN).alias("turn")).distinct()
+    inside = inside.join(turns, "key")
+    blocks = rows.select("key", "block").distinct()
+    asking = blocks.join(rows.filter("outside").select("key", F.col("block").alias("outer")).distinct(), "key")
+    met = asking.join(outside, ["key", "outer"]).select("key", "block", turn, "asked")
+    met = met.join(inside, ["key", "block", "turn"]).select("asked", "others")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def unpack(packed: list[bytes]):
@@ -153,15 +184,16 @@ def links(
     ranked = materialize(buckets.join(seen, "node"), "ranked")
     centres = ranked.groupBy("key").agg(F.max(F.struct("seen", "node"))["node"].alias("centre"))
     met = ranked.join(centres, "key").filter("node <> centre")
-    pairs = met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    pairs = met.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     first = materialize(_measured(pairs, node_texts, profile, similarity), "measured")
     roots = components(first.filter(near))
     rooted = ranked.select("key", "node").join(roots, "node", "left")
     rooted = materialize(rooted.withColumn("root", F.coalesce("root", "node")), "rooted")
     parted = materialize(rooted.join(_parted(rooted), "key"), "parted")
-    # a few texts are much work: a fixed number of partitions, which are not merged for their few bytes
+    # a few texts are much work: a fixed number of partitions, which are not merged for their few bytes; by
+    # another value than the node, or the join would pass as this repartition and be merged
     parts = int(parted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    apart = node_texts.join(parted.select("node").distinct(), "node").repartition(parts, "node")
+    apart = node_texts.join(parted.select("node").distinct(), "node").repartition(parts, F.xxhash64("node"))
     sketches = materialize(_sketched(apart, sketch), "sketches")
     pairs = _agreeing(parted, sketches, least).join(first, ["a", "b"], "left_anti")
     second = materialize(_measured(pairs, node_texts, profile, similarity), "measured")
@@ -198,7 +230,7 @@ def _mark(edges: DataFrame) -> tuple:
 
 def near_classes(
     documents: DataFrame,
-    sign: Callable[[], Callable[[str], np.ndarray]],
+    members: DataFrame,
     sketch: Callable[[], Callable[[str], bytes]],
     profile: Callable[[], Callable],
     similarity: Callable,
@@ -208,17 +240,18 @@ def near_classes(
 ) -> DataFrame:
     """``(doc_id, node, class_id, first_node)`` of every document.
 
-    ``class_id`` is the smallest id of the class, ``first_node`` the text it
-    stands for. ``sign``, ``sketch`` and ``profile`` make the functions from text to
-    band keys, to a sketch, and to what ``similarity`` compares.
+    ``members`` is the written ``(doc_id, node, bands)`` of every document. ``class_id``
+    is the smallest id of the class, ``first_node`` the text it stands for. ``sketch``
+    and ``profile`` make the functions from text to a sketch, and to what
+    ``similarity`` compares. Only texts of nodes that share a bucket move.
     """
-    members = materialize(signed(documents, sign, id_col, text_col), "signed")
     nodes = members.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
     nodes = materialize(nodes, "nodes")
     buckets = nodes.select("node", F.explode("bands").alias("key"))
     many = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     buckets = materialize(buckets.join(many, "key"), "buckets")
     wanted = buckets.select("node").distinct().join(nodes.select("node", "first"), "node")
+    wanted = broadcast_within(materialize(wanted, "wanted"), WANTED)
     of_text = documents.select(
         F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), text_node(text_col).alias("id")
     )

@@ -22,8 +22,9 @@ import math
 import numpy as np
 from pyspark.sql import DataFrame
 
-from docsift.llm.linking import near_classes, sketch_bits
+from docsift.llm.linking import near_classes, signed, sketch_bits
 from docsift.llm.words import WordHasher, mixed, plain_bytes, shingles
+from docsift.sources.store import materialize
 
 SIZE = 5
 LEAST = 0.8
@@ -116,4 +117,5 @@ def near_duplicates(
         shingled = profile()
         return lambda text: sketch_bits(signature(*shingled(text), SKETCH))
 
-    return near_classes(documents, sign, sketch, profile, probability_jaccard, least, id_col, text_col)
+    members = materialize(signed(documents, sign, id_col, text_col), "signed")
+    return near_classes(documents, members, sketch, profile, probability_jaccard, least, id_col, text_col)

@@ -164,7 +164,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text against its edit and its neighbour, and the class of its near-duplicates."""
     documents = read(spark, sf_dir, "documents")
     found = fingerprints.compare_neighbours(documents)
-    classes = fingerprints.near_duplicates(documents).select(
+    classes = fingerprints.near_duplicates(documents, found.select("doc_id", "node", "fingerprint")).select(
         F.col("doc_id").alias("of_id"), F.col("node").alias("of_node"), "class_id"
     )
     same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("node") == F.col("of_node"))
