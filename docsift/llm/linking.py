@@ -123,10 +123,14 @@ def _parted(rooted: DataFrame) -> DataFrame:
 
 
 def _agreeing(parted: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
-    """``(a, b)``: pairs of a bucket in different components whose sketches agree often enough."""
-    rows = parted.join(sketches, "node").select(
+    """``(a, b)``: pairs of a bucket in different components whose sketches agree often enough.
+
+    All buckets that two such nodes share are among these; the one with the smallest key returns the pair.
+    """
+    keys = parted.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    rows = parted.join(sketches, "node").join(keys, "node").select(
         "key",
-        F.concat("node", "root", "sketch").alias("packed"),
+        F.struct(F.concat("node", "root", "sketch").alias("held"), "keys").alias("packed"),
         (F.col("root") != F.col("largest")).alias("outside"),
         F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block"),
     )
@@ -140,26 +144,32 @@ def _agreeing(parted: DataFrame, sketches: DataFrame, least: float) -> DataFrame
     blocks = rows.select("key", "block").distinct()
     asking = blocks.join(rows.filter("outside").select("key", F.col("block").alias("outer")).distinct(), "key")
     met = asking.join(outside, ["key", "outer"]).select("key", "block", turn, "asked")
-    met = met.join(inside, ["key", "block", "turn"]).select("asked", "others")
+    met = met.join(inside, ["key", "block", "turn"]).select("key", "asked", "others")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def unpack(packed: list[bytes]):
+        def unpack(rows: list[dict]):
+            packed = [r["held"] for r in rows]
             table = np.frombuffer(b"".join(packed), np.uint64).reshape(len(packed), -1)
-            return [p[:NODE_BYTES] for p in packed], [p[NODE_BYTES : 2 * NODE_BYTES] for p in packed], table[:, 4:]
+            nodes, roots = [p[:NODE_BYTES] for p in packed], [p[NODE_BYTES : 2 * NODE_BYTES] for p in packed]
+            return nodes, roots, table[:, 4:], [r["keys"] for r in rows]
 
         for batch in batches:
             a, b = [], []
             for row in range(batch.num_rows):
-                nodes, roots, table = unpack(batch.column("others")[row].as_py())
-                asked_nodes, asked_roots, asked_table = unpack(batch.column("asked")[row].as_py())
+                key = batch.column("key")[row].as_py()
+                nodes, roots, table, keys = unpack(batch.column("others")[row].as_py())
+                asked_nodes, asked_roots, asked_table, asked_keys = unpack(batch.column("asked")[row].as_py())
                 outer = set(asked_nodes)
                 bits, agree = 64 * table.shape[1], (1 + least) / 2
                 unlike = bits * (1 - agree + DEVIATIONS * (agree * (1 - agree) / bits) ** 0.5)
-                for node, root, sketch in zip(asked_nodes, asked_roots, asked_table, strict=True):
+                for node, root, sketch, own in zip(asked_nodes, asked_roots, asked_table, asked_keys, strict=True):
+                    shared = {k for k in own if k < key}
                     differ = np.bitwise_count(table ^ sketch).sum(axis=1, dtype=np.int64)
                     for i in np.flatnonzero(differ <= unlike).tolist():
                         if roots[i] == root or (nodes[i] in outer and nodes[i] < node):
                             continue
+                        if not shared.isdisjoint(keys[i]):
+                            continue  # a bucket with a smaller key returns the pair
                         a.append(min(node, nodes[i]))
                         b.append(max(node, nodes[i]))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
