@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsift.functions.text import PROTECTED
-from docsift.sources.store import broadcast_within, materialize
+from docsift.sources.store import materialize, within
 
 # Public noun suffix rules of the WordNet morphology.
 NOUN_RULES = [
@@ -14,6 +14,7 @@ NOUN_RULES = [
     ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y"),
 ]
 MAX_BROADCAST_LEMMAS = 500_000
+LEMMAS_OF_ROW = "__lemmas_of_row"
 
 
 def stems(token: Column) -> Column:
@@ -28,36 +29,54 @@ def stems(token: Column) -> Column:
     return F.array_compact(F.array(*candidates))
 
 
+def _counted_map(tokens: DataFrame, lexicon: DataFrame | None) -> DataFrame:
+    """``(token, lemma, n)`` for tokens that change; ``n`` counts rows of ``tokens``."""
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    vocabulary = materialize(counts, "vocabulary")
+    words = vocabulary.filter(~F.col("token").isin(PROTECTED))
+    terms = lexicon.select("term").distinct() if lexicon is not None else vocabulary.select(F.col("token").alias("term"))
+    forms = words.select("token", "n", F.explode(F.concat(F.array("token"), stems(F.col("token")))).alias("term"))
+    accepted = forms.join(terms, "term", "left_semi")
+    order = F.struct(F.length("term"), F.col("term"))
+    found = accepted.groupBy("token").agg(F.min_by("term", order).alias("lemma"), F.max("n").alias("n"))
+    return found.filter(F.col("token") != F.col("lemma"))
+
+
 def lemma_map(tokens: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
     """``(token, lemma)`` for tokens that change, from a table with a ``token`` column.
 
     A stem counts when the lexicon (one column ``term``; by default the tokens
     themselves) holds it. The shortest accepted form wins, then the lowest.
     """
-    vocabulary = materialize(tokens.select("token").distinct(), "vocabulary")
-    words = vocabulary.filter(~F.col("token").isin(PROTECTED))
-    terms = lexicon.select("term").distinct() if lexicon is not None else vocabulary.toDF("term")
-    forms = words.select("token", F.explode(F.concat(F.array("token"), stems(F.col("token")))).alias("term"))
-    accepted = forms.join(terms, "term", "left_semi")
-    order = F.struct(F.length("term"), F.col("term"))
-    return accepted.groupBy("token").agg(F.min_by("term", order).alias("lemma")).filter(
-        F.col("token") != F.col("lemma")
-    )
+    return _counted_map(tokens, lexicon).drop("n")
+
+
+def _changes(pairs: DataFrame, lemmas: DataFrame) -> DataFrame:
+    """The pairs whose token has a lemma.
+
+    The most frequent lemmas are broadcast. A token outside the first
+    ``MAX_BROADCAST_LEMMAS`` is in at most that part of all pairs, so the rest
+    joins by shuffle without a hot key.
+    """
+    if within(lemmas, MAX_BROADCAST_LEMMAS):
+        return pairs.join(F.broadcast(lemmas), "token")
+    hot = materialize(lemmas.orderBy(F.desc("n"), "token").limit(MAX_BROADCAST_LEMMAS), "hot-lemmas")
+    rest = lemmas.join(hot, "token", "left_anti")
+    return pairs.join(F.broadcast(hot), "token").unionByName(pairs.join(rest, "token"))
 
 
 def lemmatize(df: DataFrame, row_id: str, tokens: str = "tokens", lexicon: DataFrame | None = None) -> DataFrame:
-    """``(row_id, tokens)`` with lemmas in place.
+    """``df`` with lemmas in place of its ``tokens``; other columns stay.
 
-    The map is written once; up to a checked size it is broadcast, beyond it the
-    join shuffles distinct (row, token) pairs and AQE splits hot tokens.
+    Reads ``df`` several times: pass a written table. Only tokens that change
+    are grouped, as a small map per row id, and the array is rewritten in place.
+    Rows that share an id share a map; null, empty and null-id rows stay as they are.
     """
-    distinct = df.select(row_id, F.explode(F.array_distinct(tokens)).alias("token"))
-    lemmas = materialize(lemma_map(distinct, lexicon), "lemmas")
-    placed = df.select(row_id, F.posexplode_outer(tokens).alias("pos", "token"))
-    joined = placed.join(broadcast_within(lemmas, MAX_BROADCAST_LEMMAS), "token", "left")
-    lemma = F.when(
-        F.col("token").isNotNull(),
-        F.struct("pos", F.coalesce("lemma", "token").alias("token")),
-    )
-    grouped = joined.groupBy(row_id).agg(F.sort_array(F.collect_list(lemma)).alias("found"))
-    return grouped.select(row_id, F.transform("found", lambda e: e["token"]).alias(tokens))
+    pairs = df.filter(F.col(row_id).isNotNull()).select(row_id, F.explode(F.array_distinct(tokens)).alias("token"))
+    lemmas = materialize(_counted_map(pairs, lexicon), "lemmas")
+    entry = F.struct("token", "lemma")
+    maps = _changes(pairs, lemmas).groupBy(row_id).agg(F.map_from_entries(F.collect_set(entry)).alias(LEMMAS_OF_ROW))
+    found = F.col(LEMMAS_OF_ROW)
+    changed = F.transform(tokens, lambda t: F.coalesce(F.try_element_at(found, t), t))
+    joined = df.join(maps, row_id, "left")
+    return joined.withColumn(tokens, F.when(found.isNull(), F.col(tokens)).otherwise(changed)).select(*df.columns)

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from docsift.functions import text as T
 from docsift.functions.arrays import settle, term_counts
+from docsift.operators import lemmas as LM
+from docsift.sources.store import materialize
 
 
 def drop_null_rows(df: DataFrame, *columns: str) -> DataFrame:
@@ -298,10 +300,17 @@ def first_rows(df: DataFrame, row_id: str, n: int) -> DataFrame:
     return df.orderBy(row_id).limit(n)
 
 
-def cleaning_trace(df: DataFrame, text: str = "text", lemmas=None) -> DataFrame:
+def cleaning_trace(
+    df: DataFrame, row_id: str, text: str = "text", lexicon: DataFrame | None = None
+) -> DataFrame:
     """Every cleaning step as a column: masked text, lower case without
-    punctuation, tokens, tokens without stop words."""
+    punctuation, tokens, tokens without stop words, their lemmas.
+
+    The first steps are written once. Without a lexicon the traced tokens are it.
+    """
     masked = settle(df, masked=T.mask_pii(F.col(text)))
     lowered = masked.withColumn("lowered", T.blank_non_words(F.lower("masked")))
     split = settle(lowered, tokens=T.split_words(F.col("lowered")))
-    return split.withColumn("without_stop_words", T.drop_stop_words(F.col("tokens")))
+    kept = settle(split, without_stop_words=T.drop_stop_words(F.col("tokens")))
+    written = materialize(kept.withColumn("lemmas", F.col("without_stop_words")), "trace")
+    return LM.lemmatize(written, row_id, "lemmas", lexicon)

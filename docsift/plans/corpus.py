@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docsift.functions import text as T
 from docsift.operators import features as X
+from docsift.operators import lemmas as LM
 from docsift.operators import profile as P
 from docsift.operators import splits as S
 from docsift.sources.store import materialize, spread
@@ -19,12 +20,14 @@ class Corpus:
     """Written tables keyed by ``doc_id``.
 
     ``clean(doc_id, category, tokens, clean, counts...)``, ``split(doc_id,
-    is_test, fold)`` and ``terms(doc_id, category, terms)``.
+    is_test, fold)`` and ``terms(doc_id, category, terms)``. ``lexicon(term)`` is
+    there when the tokens are lemmas; scoring takes the same one.
     """
 
     clean: DataFrame
     split: DataFrame
     terms: DataFrame
+    lexicon: DataFrame | None = None
 
     def train_terms(self) -> DataFrame:
         return S.take_train(self.terms, self.split, "doc_id")
@@ -49,10 +52,32 @@ def vector_terms(clean: DataFrame, config: X.TfidfConfig = X.STANDARD, pattern:
     return X.document_terms(clean, "doc_id", tokens, config, "category")
 
 
-def prepare(documents: DataFrame, category: str, test_share: float = 0.2, folds: int = 5, seed: int = 42) -> Corpus:
-    """Clean once, write, then split and count terms from the written table."""
+def with_lemmas(clean: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
+    """A written clean table with noun lemmas in its tokens, text and counts."""
+    rows = LM.lemmatize(clean, "doc_id", lexicon=lexicon)
+    return rows.withColumn("clean", F.array_join("tokens", " ")).withColumn("clean_chars", F.length("clean"))
+
+
+def prepare(
+    documents: DataFrame,
+    category: str,
+    test_share: float = 0.2,
+    folds: int = 5,
+    seed: int = 42,
+    lemmas: bool = False,
+    lexicon: DataFrame | None = None,
+) -> Corpus:
+    """Clean once, write, then split and count terms from the written table.
+
+    ``lemmas`` puts noun lemmas into the tokens, from a lexicon table (column
+    ``term``) or, without one, from the corpus's own tokens.
+    """
     clean = materialize(clean_table(documents, category), "clean")
+    if lemmas:
+        if lexicon is None:
+            lexicon = materialize(clean.select(F.explode("tokens").alias("term")).distinct(), "lexicon")
+        clean = materialize(with_lemmas(clean, lexicon), "lemma-clean")
     kept = usable(clean)
     split = materialize(S.split_table(kept, "doc_id", "category", test_share, folds, seed), "split")
     terms = materialize(vector_terms(kept), "terms")
-    return Corpus(clean, split, terms)
+    return Corpus(clean, split, terms, lexicon if lemmas else None)

@@ -17,8 +17,10 @@ from docsift.plans import compare as CM
 from docsift.plans import fits as FT
 from docsift.plans import scoring as SC
 from docsift.plans import sqltext as Q
+from docsift.plans.corpus import prepare
 from docsift.plans.registry import (
     corpus,
+    document_vectors,
     documents,
     label_classes,
     label_predictions,
@@ -901,6 +903,30 @@ def dual_scoring(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "T14 T16 M19",
+    f"""WITH {_SCORED.replace(Q.CLEAN, Q.LEMMA_CLEAN)} SELECT doc_id, classic AS classic_category, round(classic_p, 4) AS classic_confidence,
+  advanced AS advanced_category, len(tokens) AS word_count_clean FROM scored""",
+)
+def lemma_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    """Dual scoring with noun lemmas in the fitted corpus and in the scored documents."""
+    trained = prepare(table(spark, sf, "documents"), "lang", lemmas=True)
+    model = C.fit_naive_bayes(trained.train_terms(), "doc_id", "category")
+    vectors = document_vectors(spark, sf)
+    centroids = C.fit_centroids(S.take_train(vectors, trained.split, "doc_id"), "y_true", "embedding")
+    advanced = C.score_centroids(vectors, centroids, "embedding").drop("embedding", "y_true")
+    lexicon = trained.lexicon
+    named = documents(spark, sf, "text").withColumn("filename", F.lit("d.txt"))
+    checked = materialize(SC.checked_inputs(named, lemmas=True, lexicon=lexicon), "checked")
+    return SC.score_documents(checked, model, advanced, centroids.classes).select(
+        "doc_id",
+        F.col("classic_model.category").alias("classic_category"),
+        F.col("classic_model.confidence").alias("classic_confidence"),
+        F.col("advanced_model.category").alias("advanced_category"),
+        "word_count_clean",
+    )
+
+
 @query(
     "W6 R2",
     f"""WITH {_SCORED} SELECT doc_id AS id, classic AS classic_category, advanced AS advanced_category,

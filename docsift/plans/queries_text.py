@@ -209,20 +209,7 @@ def clean_text(spark: SparkSession, sf: str) -> DataFrame:
     return documents(spark, sf, "text").select("doc_id", T.clean_text(F.col("text")).alias("clean"))
 
 
-def _stem_sql(token: str) -> str:
-    cases = [
-        f"CASE WHEN {token} LIKE '%{s}' AND length({token}) > {len(s)} THEN left({token}, -{len(s)}) || {Q.quote(e)} END"
-        for s, e in LM.NOUN_RULES
-    ]
-    return f"list_filter([{', '.join(cases)}], lambda x: x IS NOT NULL)"
-
-
-_LEMMAS = f"""{Q.CLEAN},
-vocab AS MATERIALIZED (SELECT DISTINCT unnest(tokens) AS token FROM clean),
-forms AS (SELECT token, unnest(list_concat([token], {_stem_sql('token')})) AS form FROM vocab
-  WHERE token NOT IN ({Q.in_list(T.PROTECTED)})),
-lemmas AS MATERIALIZED (SELECT token, arg_min(form, (length(form), form)) AS lemma FROM forms
-  WHERE form IN (SELECT token FROM vocab) GROUP BY token)"""
+_LEMMAS = f"{Q.CLEAN},\n{Q.lemmas('clean')}"
 
 
 @query("T14", f"WITH {_LEMMAS} SELECT token, lemma FROM lemmas WHERE token <> lemma")
@@ -239,7 +226,7 @@ FROM (SELECT doc_id FROM documents) LEFT JOIN (SELECT * FROM placed LEFT JOIN le
 )
 def lemmatized_text(spark: SparkSession, sf: str) -> DataFrame:
     rows = P.with_clean_text(documents(spark, sf, "text")).select("doc_id", "tokens")
-    return LM.lemmatize(rows, "doc_id").select("doc_id", _md5(F.array_join("tokens", " ")))
+    return LM.lemmatize(ST.materialize(rows, "tokens"), "doc_id").select("doc_id", _md5(F.array_join("tokens", " ")))
 
 
 @query("T17", f"SELECT doc_id, md5({Q.masked('text')}) AS h FROM documents")
@@ -270,18 +257,23 @@ _LOWERED = f"lower({Q.masked('text')})"
 
 @query(
     "T20",
-    f"""WITH trace AS MATERIALIZED (SELECT doc_id, {Q.masked('text')} AS masked, {Q.non_words_blank(_LOWERED)} AS lowered FROM documents)
+    f"""WITH trace AS MATERIALIZED (SELECT doc_id, {Q.masked('text')} AS masked, {Q.non_words_blank(_LOWERED)} AS lowered FROM documents),
+steps AS MATERIALIZED (SELECT *, list_filter({Q.words('lowered')}, lambda k: k NOT IN ({Q.in_list(T.STOP_WORDS)})) AS tokens FROM trace),
+{Q.lemmas('steps')}, placed AS (SELECT doc_id, unnest(tokens) AS token, unnest(generate_series(1, len(tokens))) AS pos FROM steps),
+joined AS (SELECT doc_id, string_agg(coalesce(lemma, token), ' ' ORDER BY pos) AS lemmas FROM placed LEFT JOIN lemmas USING (token) GROUP BY doc_id)
 SELECT doc_id, md5(masked) AS masked, md5(lowered) AS lowered, len({Q.words('lowered')}) AS n_tokens,
-  md5(array_to_string(list_filter({Q.words('lowered')}, lambda k: k NOT IN ({Q.in_list(T.STOP_WORDS)})), ' ')) AS kept FROM trace""",
+  md5(array_to_string(tokens, ' ')) AS kept, CASE WHEN masked IS NOT NULL THEN md5(coalesce(joined.lemmas, '')) END AS lemmas
+FROM steps LEFT JOIN joined USING (doc_id)""",
 )
 def cleaning_trace(spark: SparkSession, sf: str) -> DataFrame:
-    trace = P.cleaning_trace(documents(spark, sf, "text"))
+    trace = P.cleaning_trace(documents(spark, sf, "text"), "doc_id")
     return trace.select(
         "doc_id",
         F.md5("masked").alias("masked"),
         F.md5("lowered").alias("lowered"),
         F.size("tokens").alias("n_tokens"),
         F.md5(F.array_join("without_stop_words", " ")).alias("kept"),
+        F.md5(F.array_join("lemmas", " ")).alias("lemmas"),
     )
 
 

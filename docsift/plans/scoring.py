@@ -11,6 +11,8 @@ from docsift.functions.arrays import settle, top_terms
 from docsift.functions.validate import filename_or_default, validate
 from docsift.operators import classify as C
 from docsift.operators import features as X
+from docsift.operators import lemmas as LM
+from docsift.sources.store import materialize
 
 # Keyword counts, preview length and candidate count.
 KEYWORDS = 12
@@ -19,13 +21,17 @@ PREVIEW = 350
 CANDIDATES = 3
 
 
-def checked_inputs(documents: DataFrame) -> DataFrame:
+def checked_inputs(documents: DataFrame, lemmas: bool = False, lexicon: DataFrame | None = None) -> DataFrame:
     """``(doc_id, filename, text)`` cleaned once and checked, ready to be written.
 
     The written columns are narrow: the full text goes no further than here.
+    ``lemmas`` puts noun lemmas into the tokens, as ``corpus.prepare`` does; give
+    the lexicon that the model's corpus had, else the documents' own tokens are it.
     """
     raw, text = F.col("text"), F.col("stripped")
     cleaned = settle(documents, stripped=T.strip_blanks(F.coalesce(raw, F.lit(""))), tokens=T.clean_tokens(raw))
+    if lemmas:
+        cleaned = LM.lemmatize(materialize(cleaned, "inputs"), "doc_id", lexicon=lexicon)
     checked = validate(cleaned, "text", "tokens", "filename")
     tokens = F.col("tokens")
     return checked.select(

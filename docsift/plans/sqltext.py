@@ -7,6 +7,7 @@ boundaries are spelled as captured neighbours or as ASCII ``\\b``.
 from __future__ import annotations
 
 from docsift.functions import text as T
+from docsift.operators.lemmas import NOUN_RULES
 
 BLANK = r"\s\x0b\x1c-\x1f\x{85}\pZ"
 WORD = r"\p{L}\p{N}_"
@@ -107,6 +108,35 @@ token_lists AS MATERIALIZED (SELECT doc_id, lang, source, text, {kept_tokens(pre
 clean AS MATERIALIZED (SELECT *, array_to_string(tokens, ' ') AS clean, length(text) AS raw_chars,
   len({words('text')}) AS raw_words, length(array_to_string(tokens, ' ')) AS clean_chars, len(tokens) AS clean_words
   FROM token_lists)"""
+
+
+def _stems(token: str) -> str:
+    cases = [
+        f"CASE WHEN {token} LIKE '%{s}' AND length({token}) > {len(s)} THEN left({token}, -{len(s)}) || {quote(e)} END"
+        for s, e in NOUN_RULES
+    ]
+    return f"list_filter([{', '.join(cases)}], lambda x: x IS NOT NULL)"
+
+
+def lemmas(rows: str) -> str:
+    """``lemmas(token, lemma)``; the distinct tokens of ``rows`` are the lexicon."""
+    return f"""lemma_words AS MATERIALIZED (SELECT DISTINCT unnest(tokens) AS token FROM {rows}),
+lemma_forms AS (SELECT token, unnest(list_concat([token], {_stems('token')})) AS form FROM lemma_words
+  WHERE token NOT IN ({in_list(T.PROTECTED)})),
+lemmas AS MATERIALIZED (SELECT token, arg_min(form, (length(form), form)) AS lemma FROM lemma_forms
+  WHERE form IN (SELECT token FROM lemma_words) GROUP BY token)"""
+
+
+#: The clean corpus with lemmas in place of tokens, to stand where ``CLEAN`` stands.
+LEMMA_CLEAN = f"""{CLEAN.replace("clean AS MATERIALIZED", "plain AS MATERIALIZED")},
+{lemmas('plain')},
+lemma_lists AS MATERIALIZED (SELECT doc_id, list(coalesce(lemma, token) ORDER BY pos) AS found FROM (
+  SELECT doc_id, unnest(tokens) AS token, unnest(generate_series(1, len(tokens))) AS pos FROM plain)
+  LEFT JOIN lemmas USING (token) GROUP BY doc_id),
+clean AS MATERIALIZED (SELECT doc_id, lang, source, text, coalesce(found, tokens) AS tokens,
+  array_to_string(coalesce(found, tokens), ' ') AS clean, raw_chars, raw_words,
+  length(array_to_string(coalesce(found, tokens), ' ')) AS clean_chars, clean_words
+  FROM plain LEFT JOIN lemma_lists USING (doc_id))"""
 USABLE = f"""{CLEAN},
 usable AS MATERIALIZED (SELECT * FROM clean WHERE length({stripped('clean')}) > 10)"""
 
