@@ -32,6 +32,16 @@ def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return back.select(F.col("Category").alias("category"), F.length("Resume").alias("n_chars"), _md5(F.col("Resume")))
 
 
+@query("S1 S3", "SELECT lang AS category, length(text) AS n_chars, md5(text) AS h FROM documents")
+def large_csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Written as CSV and read by file blocks instead of whole files."""
+    path = new_path(spark, "large-csv")
+    rows = documents(spark, sf, "lang", "text").select(F.col("lang").alias("Category"), F.col("text").alias("Resume"))
+    ST.write_report_csv(rows, path)
+    back = SC.read_large_csv(spark, path)
+    return back.select(F.col("Category").alias("category"), F.length("Resume").alias("n_chars"), _md5(F.col("Resume")))
+
+
 @query("S2", "SELECT lang AS \"Category\", count(*) AS n FROM documents GROUP BY lang")
 def guarded_corpus(spark: SparkSession, sf: str) -> DataFrame:
     rows = documents(spark, sf, "lang", "text").select(F.col("lang").alias("Category"), F.col("text").alias("Resume"))

@@ -1,5 +1,6 @@
 import os
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,6 +25,28 @@ def test_csv_keeps_quotes_and_lines(spark, tmp_path):
     assert sorted(map(tuple, SC.read_corpus_csv(spark, str(tmp_path / "c")).collect())) == sorted(rows)
 
 
+def test_large_csv_cuts_records_across_ranges(spark, tmp_path):
+    """Quotes, line ends and long records on the borders of blocks and chunks."""
+    texts = ['line one\nline "two", end', "plain", '"', '""\n""', "\n\n\n", "a,b", "x\r\ny", "é\n" * 90, 'q"\n"' * 40, " "]
+    rows = [(f"c{i}", t) for i, t in enumerate(texts * 6)]
+    path = tmp_path / "one.csv"
+    quoted = ["Category,Resume"] + [f'{c},"{t.replace(chr(34), chr(34) * 2)}"' for c, t in rows]
+    path.write_bytes(("\r\n".join(quoted) + "\r\n\r\n").encode())
+    want = duckdb.connect().execute(
+        f"SELECT * FROM read_csv('{path}', header = true, quote = '\"', escape = '\"', delim = ',', all_varchar = true, strict_mode = false)"
+    ).fetchall()
+    assert sorted(want) == sorted(rows)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+        got = SC.read_large_csv(spark, str(path), chunk_chars=50).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(map(tuple, got)) == sorted(rows)
+    path.write_text("Category,Resume\n")
+    assert SC.read_large_csv(spark, str(path)).collect() == []
+
+
 def test_guard_wants_columns_and_rows(spark):
     with pytest.raises(ValueError, match="lacks"):
         SC.require_corpus(spark.range(200).toDF("Category"))
