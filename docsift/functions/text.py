@@ -101,11 +101,16 @@ def _nfkd_udf():
 
 def _accents_udf():
     def stripped(texts: pd.Series) -> pd.Series:
-        import sys
         import unicodedata
 
-        marks = {c: None for c in range(sys.maxunicode + 1) if unicodedata.combining(chr(c))}
-        return texts.str.normalize("NFKD").str.translate(marks)
+        class Marks(dict):
+            """Code points as they are met; combining marks go."""
+
+            def __missing__(self, code: int) -> int | None:
+                self[code] = None if unicodedata.combining(chr(code)) else code
+                return self[code]
+
+        return texts.str.normalize("NFKD").str.translate(Marks())
 
     return F.pandas_udf(stripped, StringType())
 

@@ -1,3 +1,5 @@
+import unicodedata
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -119,6 +121,14 @@ def test_vector_tokens(spark):
     assert got["b"] == ["c++", "node.js", "resume", "x"]
 
 
+def test_every_combining_mark_goes(spark):
+    marks = [chr(c) for c in range(0x110000) if unicodedata.combining(chr(c))]
+    texts = ["e" + "".join(marks[:400]) + "x", "a" + "".join(marks[400:]) + "b", "Ångström ﬁ", "plain", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r["s"] for r in rows.select("i", T.strip_accents(F.col("t")).alias("s")).orderBy("i").collect()]
+    assert got == ["ex", "ab", "Angstrom fi", "plain", None]
+
+
 def test_lemmas_follow_the_lexicon(spark):
     words = ["cats", "cat", "glass", "boxes", "box", "cities", "city", "women", "woman", "wolves", "wolf", "bus", "node.js"]
     rows = spark.createDataFrame([(1, words)], "id int, tokens array<string>")
