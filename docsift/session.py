@@ -33,9 +33,16 @@ def local_session(cores: int | str = "*", app: str = "docsift", **conf: str) ->
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``, else its warehouse."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get("spark.sql.warehouse.dir", None)
-    if not folder:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Without one it is the warehouse, on a cluster only if that is no local folder.
+    """
+    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    if folder:
+        return folder
+    folder = spark.conf.get("spark.sql.warehouse.dir", None)
+    scheme = folder.split(":", 1)[0] if folder and ":" in folder else "file"
+    if not folder or (scheme == "file" and not spark.sparkContext.master.startswith("local")):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
     return folder
 
