@@ -8,7 +8,11 @@ behind each announcement by a shunting-yard parser (``with`` before ``and`` befo
 Defined results: null text counts as empty; a text without evidence has empty
 labels, score 0, null places and null permission; repeated rows get equal
 results. An expression ends where its grammar does: in prose behind it, at a
-dangling operator, at the line end; open brackets close at its end.
+dangling operator, at the line end; open brackets close at its end. It counts if
+one of its licences is listed or a ``LicenseRef-``; its other words give no label
+and allow nothing. A notice inside a longer one is part of that one. Labels have
+one form (``licence_names.label_of``); a family's label goes when a version of it
+is found, but labels of base phrases stay.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsift.llm.common import texts
+from docsift.llm.licence_names import PERMISSIVE, identifiers, label_of, less_general, notices as known_notices
 
 #: Base phrases and their labels (fixed values).
 BASE = {
@@ -30,33 +35,14 @@ BASE = {
     "apache license version 2": "apache-2",
     "cc by nc": "cc-by-nc",
 }
-#: Further notices.
-NOTICES = {
-    "gnu general public license": "gpl",
-    "gnu lesser general public license": "lgpl",
-    "gnu affero general public license": "agpl",
-    "mozilla public license": "mpl",
-    "eclipse public license": "epl",
-    "boost software license": "bsl-1.0",
-    "isc license": "isc",
-    "permission is hereby granted free of charge to any person obtaining a copy": "mit",
-    "redistribution and use in source and binary forms": "bsd",
-    "creative commons attribution": "cc-by",
-    "all rights reserved": "all-rights-reserved",
-    "released into the public domain": "public-domain",
-}
 ANNOUNCEMENT = "spdx license identifier"
-PERMISSIVE = frozenset(
-    "mit apache-2 apache-2.0 bsd bsd-2-clause bsd-3-clause bsl-1.0 isc cc-by cc-by-4.0 cc0-1.0 unlicense "
-    "public-domain zlib 0bsd".split()
-)
 #: How sure each kind of evidence makes that a licence is stated; kinds add up by noisy-or.
 CERTAINTY = {"tag": 0.95, "base": 0.9, "notice": 0.6}
 _WORD_BYTES = bytes(
     c + 32 if 65 <= c < 91 else c if c >= 128 or 48 <= c < 58 or 97 <= c < 123 else 32 for c in range(256)
 )
 _TAG = re.compile(r"spdx-license-identifier\s*:[ \t]*([^\r\n]*)", re.I)
-_TOKEN = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+\-]*|\S")
+_TOKEN = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+\-]*(?::LicenseRef-[A-Za-z0-9.\-]+)?|\S")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
 
@@ -84,7 +70,7 @@ def parse(expression: str) -> list[str]:
             while (top := waiting.pop()) != "(":
                 out.append(top)
         elif operand_next and token[0].isalnum():
-            out.append(lower.rstrip("."))
+            out.append(lower.rstrip(".-"))
             operand_next = False
         else:
             break
@@ -132,8 +118,14 @@ class Found:
 
 
 class Scanner:
-    def __init__(self, base: dict[str, str] | None = None, notices: dict[str, str] | None = None):
-        base, notices = BASE if base is None else base, NOTICES if notices is None else notices
+    def __init__(
+        self,
+        base: dict[str, str] | None = None,
+        notices: dict[str, str] | None = None,
+        listed: frozenset[str] | None = None,
+    ):
+        base, notices = BASE if base is None else base, known_notices() if notices is None else notices
+        self.listed = identifiers() if listed is None else listed
         self.automaton = ahocorasick.Automaton()
         known: dict[str, list[tuple[str, str]]] = {ANNOUNCEMENT: [("tag", "")]}
         for kind, phrases in (("base", base), ("notice", notices)):
@@ -147,32 +139,37 @@ class Scanner:
         words = text.encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split()
         line = b" " + b" ".join(words) + b" "
         found, evidence, verdicts = Found(len(words)), set(), []
+        announced, covered = False, -1
         word = at = 0
-        hits = [(end - back, m) for end, (back, m) in self.automaton.iter(line.decode("latin-1"))]
-        for start, meanings in sorted(hits, key=lambda h: h[0]):
+        hits = [(end - back, end, m) for end, (back, m) in self.automaton.iter(line.decode("latin-1"))]
+        for start, end, meanings in sorted(hits, key=lambda h: (h[0], -h[1])):
             word, at = word + line.count(b" ", at, start), start
+            inside, covered = end <= covered, max(end, covered)
             for kind, label in meanings:
                 if kind == "tag":
-                    evidence.add(("announced", ""))
-                    continue
-                if kind == "base":
+                    announced = True
+                elif kind == "base":
                     found.places.append(word)
                     found.base_labels.add(label)
-                if label not in found.labels:
-                    verdicts.append(label in PERMISSIVE)
-                found.labels.add(label)
-                evidence.add((kind, label))
-        if ("announced", "") in evidence:
+                    evidence.add((kind, label))
+                elif not inside:
+                    evidence.add((kind, label))
+        found.labels = {label for _, label in evidence}
+        if announced:
             for m in _TAG.finditer(text):
                 postfix = parse(m.group(1))
-                if postfix:
+                stated = {label_of(name, self.listed) for name in licences(postfix)} - {None}
+                if stated:
                     found.expressions.append(" ".join(postfix))
-                    found.labels |= licences(postfix)
-                    verdicts.append(evaluate(postfix, PERMISSIVE))
+                    found.labels |= stated
+                    names = [t if t in _BINDS else label_of(t, self.listed) or "" for t in postfix]
+                    verdicts.append(evaluate(names, PERMISSIVE))
                     evidence.add(("tag", found.expressions[-1]))
+        found.labels = less_general(found.labels, found.base_labels)
+        verdicts += [label in PERMISSIVE for kind, label in evidence if kind != "tag" and label in found.labels]
         doubt = 1.0
         for kind, _ in evidence:
-            doubt *= 1 - CERTAINTY.get(kind, 0.0)
+            doubt *= 1 - CERTAINTY[kind]
         found.score = round(1 - doubt, 9)
         found.permissive = all(verdicts) if verdicts else None
         return found
@@ -182,11 +179,14 @@ def scan_licences(
     documents: DataFrame,
     base: dict[str, str] | None = None,
     notices: dict[str, str] | None = None,
+    listed: frozenset[str] | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """One row of findings per document; one Arrow pass over the scan, no shuffle.
 
+    ``base`` and ``notices`` are phrases with their labels, ``listed`` the known
+    identifiers (by default those of ``licence_names``).
     ``expressions`` are in postfix form; ``permissive`` says whether all stated
     licences allow free use.
     """
@@ -205,7 +205,7 @@ def scan_licences(
     }
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan = Scanner(base, notices)
+        scan = Scanner(base, notices, listed)
         for batch in batches:
             found = [scan(t) for t in texts(batch, "text")]
             out = [pa.array([get(f) for f in found], kind) for kind, get in columns.values()]

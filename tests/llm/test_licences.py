@@ -5,6 +5,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from docsift.llm import licences as L
+from docsift.llm.licence_names import identifiers, label_of, less_general
+from docsift.llm.licence_names import notices as known_notices
 
 SCAN = L.Scanner()
 
@@ -91,3 +93,68 @@ def test_tags_add_labels_and_score():
     assert found.base_labels == set() and found.permissive is False
     assert found.score == pytest.approx(1 - 0.05 * 0.4)
     assert SCAN("spdx license identifier").score == 0 and SCAN("").permissive is None
+
+
+@pytest.mark.parametrize(
+    ("text", "labels", "free"),
+    [
+        ("licensed under the BSD 3-Clause License", {"bsd-3-clause"}, True),
+        ("Licensed under CC0 1.0 Universal", {"cc0-1.0"}, True),
+        ("GPLv3+", {"gpl-3.0"}, False),
+        ("SPDX-License-Identifier: see LICENSE file", set(), None),
+        ("SPDX-License-Identifier: TODO add license", set(), None),
+        ("SPDX-License-Identifier: Apache-2.0\nApache License, Version 2.0", {"apache-2"}, True),
+        ("GNU General Public License\nSPDX-License-Identifier: GPL-3.0", {"gpl-3.0-only"}, False),
+        ("SPDX-License-Identifier: GPL-2.0+ OR MPL-1.1+", {"gpl-2.0-or-later", "mpl-1.1"}, False),
+        ("SPDX-License-Identifier: LicenseRef-Own OR MIT", {"licenseref-own", "mit"}, True),
+        ("SPDX-License-Identifier: DocumentRef-a:LicenseRef-b", {"documentref-a:licenseref-b"}, False),
+        ("SPDX-License-Identifier: MIT and see the file", {"mit"}, False),
+        ("GNU Lesser General Public License v2.1 or later", {"lgpl-2.1-or-later"}, False),
+        ("LGPLv2.1", {"lgpl-2.1"}, False),
+        ("Mozilla Public License Version 2.0", {"mpl-2.0"}, False),
+        ("Creative Commons Attribution-ShareAlike 4.0 International", {"cc-by-sa-4.0"}, False),
+        ("under CC BY-NC-SA 4.0", {"cc-by-nc", "cc-by-nc-sa-4.0"}, False),
+        ("Under the MIT License.", {"mit"}, True),
+        ("released into the public domain", {"public-domain"}, True),
+        ("This is free and unencumbered software released into the public domain", {"unlicense"}, True),
+    ],
+)
+def test_common_notices_have_one_label(text, labels, free):
+    found = SCAN(text)
+    assert (found.labels, found.permissive) == (labels, free)
+    assert (found.score > 0) == bool(labels)
+
+
+PHRASES = known_notices()
+
+
+def outermost(text):
+    """Labels of the notices that lie in no longer one, by looking for every phrase at every word."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
+    spans = {}
+    for i in range(len(words)):
+        for n in range(1, 31):
+            phrase = " ".join(words[i : i + n])
+            if i + n <= len(words) and (phrase in PHRASES or phrase in L.BASE):
+                spans[i, i + n] = phrase
+    inner = {s for s in spans for o in spans if o != s and o[0] <= s[0] and s[1] <= o[1]}
+    base = {L.BASE[p] for p in spans.values() if p in L.BASE}
+    return less_general({PHRASES[p] for s, p in spans.items() if s not in inner and p in PHRASES} | base, base)
+
+
+MORE = ["gnu", "general", "public", "license", "gpl", "gplv3", "or", "later", "bsd", "3", "clause", "0", "v2", "new"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*MORE, "under", "the", "mit", "cc", "by", "nc", "sa", "4", *sorted(PHRASES)[::40]]), max_size=14))
+def test_notices_equal_brute_force(pieces):
+    text = " ".join(pieces)
+    assert SCAN(text).labels == outermost(text)
+
+
+def test_every_listed_identifier_has_a_label_and_keeps_it():
+    listed = identifiers()
+    for name in listed:
+        assert SCAN(f"SPDX-License-Identifier: {name.upper()}").labels >= {label_of(name, listed)}
+    assert {"mit", "apache-2.0", "gpl-3.0-or-later", "cc-by-sa-4.0", "bsd-3-clause"} <= listed
+    assert label_of("mitt", listed) is None and label_of("", listed) is None
