@@ -13,6 +13,7 @@ from docsift.operators import evaluate as E
 from docsift.operators import features as X
 from docsift.operators import linear as LN
 from docsift.operators import splits as S
+from docsift.plans import bundle as B
 from docsift.plans import compare as CM
 from docsift.plans import fits as FT
 from docsift.plans import scoring as SC
@@ -35,7 +36,7 @@ from docsift.plans.registry import (
     vector_predictions,
 )
 from docsift.session import new_path
-from docsift.sources.store import materialize, spread
+from docsift.sources.store import load_model, materialize, save_model, spread
 from docsift.streaming import history as H
 from docsift.streaming import scoring as SS
 
@@ -75,7 +76,7 @@ def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(fitted.withColumn("idx", F.col("idx").cast("long")), "idf")
 
 
-def _features(spark: SparkSession, sf: str, config: X.TfidfConfig) -> tuple[DataFrame, DataFrame]:
+def _weighted(spark: SparkSession, sf: str, config: X.TfidfConfig) -> tuple[DataFrame, DataFrame]:
     c = corpus(spark, sf)
     fitted = materialize(X.fit_vocabulary(c.train_terms(), config), "vocabulary")
     return X.transform(c.terms, fitted, "doc_id", config), fitted
@@ -83,7 +84,7 @@ def _features(spark: SparkSession, sf: str, config: X.TfidfConfig) -> tuple[Data
 
 @query("M1", f"WITH {_TRAIN}, {Q.WEIGHTS} SELECT doc_id, term, round(weight, 6) AS weight FROM weights")
 def tfidf_weights(spark: SparkSession, sf: str) -> DataFrame:
-    features, fitted = _features(spark, sf, X.STANDARD)
+    features, fitted = _weighted(spark, sf, X.STANDARD)
     rows = X.with_terms(X.long_weights(features), fitted)
     return rounded(rows.select("doc_id", "term", "weight"), "weight")
 
@@ -100,7 +101,7 @@ FROM split LEFT JOIN weights ON weights.doc_id = split.doc_id GROUP BY split.doc
 )
 def small_tfidf_norms(spark: SparkSession, sf: str) -> DataFrame:
     """Documents without a vocabulary term stay, as zero vectors."""
-    rows, _ = _features(spark, sf, X.SMALL)
+    rows, _ = _weighted(spark, sf, X.SMALL)
     weights = F.transform("features", lambda e: e["weight"])
     square = V.dot(weights, weights)
     return rounded(rows.select("doc_id", F.size("features").cast("long").alias("n_terms"), square.alias("square")), "square")
@@ -576,9 +577,9 @@ def _linear_grid(spark: SparkSession, sf: str, name: str) -> LN.LinearFits:
     return once(spark, sf, f"grid of {name}", make)
 
 
-def _linear_test(spark: SparkSession, sf: str, fits: LN.LinearFits, c: float) -> DataFrame:
+def _linear_test(spark: SparkSession, sf: str, fits: LN.LinearFits, c: float, *keep: str) -> DataFrame:
     test = _features(spark, sf)[1].withColumnRenamed("category", "y_true")
-    return LN.predictions(test, fits, LN.Problem(c), "doc_id", "y_true")
+    return LN.predictions(test, fits, LN.Problem(c), *(keep or ("doc_id", "y_true")))
 
 
 def _test_metrics(spark: SparkSession, sf: str, name: str, model) -> DataFrame:
@@ -603,6 +604,39 @@ def linear_svm_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return _linear_metrics(spark, sf, "Linear SVM")
 
 
+@query(
+    "S8 M21",
+    f"""WITH {_TRAIN}, {Q.WEIGHTS} SELECT split.doc_id, category AS y_true, count(term) AS n_terms,
+  round(coalesce(sum(weight), 0), 6) AS weight, true AS same
+FROM split LEFT JOIN (SELECT doc_id, term, weight FROM weights) w ON w.doc_id = split.doc_id
+WHERE is_test GROUP BY split.doc_id, category""",
+)
+def reloaded_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectoriser and regression saved as one bundle and loaded again, over the test documents.
+
+    ``n_terms`` and ``weight`` come from the loaded vectoriser; ``same`` says whether the loaded
+    bundle's class and scores (to nine places, as norms are sums in any order) are, for this
+    document, those of the model that was saved.
+    """
+    c, path = corpus(spark, sf), new_path(spark, "bundle")
+    saved = B.text_pipeline_model(_features(spark, sf)[2], _linear_fit(spark, sf, "Logistic Regression"), LN.Problem(1.0))
+    save_model(saved, path)
+    loaded = load_model(path)
+    test = S.take_test(c.clean.select("doc_id", F.col("category").alias("y_true"), "clean"), c.split, "doc_id")
+    features = materialize(loaded.stages[0].transform(test), "loaded-features")
+    found = loaded.stages[1].transform(features).select("doc_id", "scores", "y_pred")
+    before = _linear_test(spark, sf, _linear_fit(spark, sf, "Logistic Regression"), 1.0, "doc_id")
+    before = before.select("doc_id", F.col("scores").alias("s"), F.col("y_pred").alias("p"))
+    near = F.forall(F.zip_with("scores", "s", lambda a, b: F.abs(a - b) < 1e-9), lambda x: x)
+    same = near & F.col("y_pred").eqNullSafe(F.col("p"))
+    weights = F.transform("features", lambda e: e["weight"])
+    sizes = features.select(
+        "doc_id", "y_true", F.size("features").cast("long").alias("n_terms"), V.array_sum(weights).alias("weight")
+    )
+    joined = sizes.join(found, "doc_id", "left").join(before, "doc_id", "left")
+    return rounded(joined.select("doc_id", "y_true", "n_terms", "weight", F.coalesce(same, F.lit(False)).alias("same")), "weight")
+
+
 _CLASS_SIZES = f"""WITH {Q.USABLE}, {Q.ranked('usable', 'lang')}, sizes AS (
   SELECT category AS class, count(*) AS documents, sum(count(*)) OVER () AS n, count(*) OVER () AS k
   FROM split WHERE NOT is_test GROUP BY category)"""
