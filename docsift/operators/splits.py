@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docsift.operators.labels import per_class
+from docsift.sources.store import materialize
 
 BUCKET_DIGITS = 3
 
@@ -102,10 +103,21 @@ def hashed_folds(df: DataFrame, row_id: str, folds: int = 5, seed: int = 42) ->
 def split_table(
     df: DataFrame, row_id: str, category: str, test_share: float = 0.2, folds: int = 5, seed: int = 42
 ) -> DataFrame:
-    """``(row_id, is_test, fold)`` to be written once and reused by every model."""
-    split = stratified_split(df.select(row_id, category), row_id, category, test_share, seed)
-    folded = stratified_folds(df.select(row_id, category), row_id, category, folds, seed)
-    return split.join(folded.select(row_id, "fold"), row_id).select(row_id, "is_test", "fold")
+    """``(row_id, is_test, fold)`` to be written once and reused by every model.
+
+    The rows of ``stratified_split`` and ``stratified_folds`` from one ranking: a row's
+    place in its class is the rows in earlier buckets plus its rank in its own. Keys are
+    written without text, so ``df`` is read once. Ids are unique; rows without a category
+    are in no part.
+    """
+    keyed = materialize(_keyed(df.select(row_id, category), row_id, category, seed), "split-keys")
+    counts = _running_counts(keyed).drop("n")
+    inside = W.partitionBy("c", "bucket").orderBy("h", "id")
+    rank = keyed.withColumn("rank", F.row_number().over(inside)).join(counts, ["c", "bucket"])
+    place = F.col("before") + F.col("rank")
+    is_test = place <= F.round(F.col("class_rows") * F.lit(test_share)).cast("long")
+    fold = F.pmod(place - 1, F.lit(folds)).cast("int")
+    return rank.select(F.col("id").alias(row_id), is_test.alias("is_test"), fold.alias("fold"))
 
 
 def take_test(df: DataFrame, split: DataFrame, row_id: str) -> DataFrame:

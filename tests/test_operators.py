@@ -3,6 +3,7 @@ import random
 from collections import Counter
 from fractions import Fraction
 
+import pytest
 from pyspark.sql import functions as F
 
 from docsift.functions import vectors as V
@@ -227,3 +228,21 @@ def test_tfidf_and_bayes_against_brute_force(spark):
         share = shares["x"] / sum(shares.values())
         assert math.isclose(r["scores"][0], share, rel_tol=1e-6)
         assert r["y_pred"] == max("xy", key=lambda c: (joint[c], c == "x"))
+
+
+@pytest.mark.parametrize(("share", "folds"), [(0.2, 5), (0.0, 1), (1.0, 3), (0.37, 4)])
+def test_split_table_is_the_split_and_the_folds(spark, share, folds):
+    rows = [(i, None if i % 50 == 7 else "hot" if i % 3 else f"c{i % 5}") for i in range(3_000)]
+    df = spark.createDataFrame(rows, "id long, kind string")
+    got = {(r["id"], r["is_test"], r["fold"]) for r in S.split_table(df, "id", "kind", share, folds).collect()}
+    test = {r["id"]: r["is_test"] for r in S.stratified_split(df, "id", "kind", share).collect()}
+    fold = {r["id"]: r["fold"] for r in S.stratified_folds(df, "id", "kind", folds).collect()}
+    assert got == {(i, test[i], f) for i, f in fold.items()} and len(fold) == 2_940
+
+
+def test_split_table_reads_its_input_once(spark, tmp_path):
+    spark.range(2_000).selectExpr("id", "id % 4 AS kind", "repeat('x', 100) AS text").write.parquet(str(tmp_path / "in"))
+    plan = S.split_table(spark.read.parquet(str(tmp_path / "in")), "id", "kind")._jdf.queryExecution().toString()
+    assert str(tmp_path / "in") not in plan and "text" not in plan
+    empty = spark.createDataFrame([], "id long, kind string")
+    assert S.split_table(empty, "id", "kind").count() == 0
