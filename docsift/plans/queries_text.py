@@ -318,10 +318,11 @@ def word_ngrams(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", _md5(F.array_join(ngrams(F.col("t")), "|")))
 
 
-@query("T24", "SELECT doc_id, quality, toxic, round(n_chars / 33.0, 4) AS ratio FROM documents JOIN labels USING (doc_id)")
+@query("T24", "SELECT doc_id, quality, toxic, round(n_chars / 33.0, 4) AS ratio, printf('%.1f%%', (n_chars % 33)::DOUBLE / 33 * 100) AS share FROM documents JOIN labels USING (doc_id)")
 def rounded_scores(spark: SparkSession, sf: str) -> DataFrame:
     rows = documents(spark, sf, "n_chars").join(table(spark, sf, "labels"), "doc_id")
-    return rows.select("doc_id", "quality", "toxic", F.round(F.col("n_chars") / 33.0, 4).alias("ratio"))
+    share = T.percent_text((F.col("n_chars") % 33).cast("double") / 33)
+    return rows.select("doc_id", "quality", "toxic", F.round(F.col("n_chars") / 33.0, 4).alias("ratio"), share.alias("share"))
 
 
 @query("T25", "SELECT c_custkey, replace(replace(replace(replace(replace(replace(lower(c_name || ' (' || c_mktsegment || ' + v-1)'), ' ', '_'), '(', ''), ')', ''), '-', '_'), '+', '_'), '#', '#') AS slug FROM customer")
