@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import functions as F
 
 from docsift.operators import linear as LN
@@ -133,3 +134,30 @@ def test_many_problems_go_in_turns(spark, monkeypatch):
     together = LN.fit(blocks, problems, LN.SOFTMAX, tolerance=1e-7)
     monkeypatch.setattr(LN, "COLUMNS", 7)
     assert np.allclose(LN.fit(blocks, problems, LN.SOFTMAX, tolerance=1e-7).weights, together.weights, atol=1e-4)
+
+
+def test_folds_go_on_from_the_whole_and_broadcasts_are_dropped(spark, monkeypatch):
+    x, y, fold = data(n=200)
+    blocks = LN.pack(frame(spark, x, y, fold), "category", CLASSES, x.shape[1], "fold")
+    dropped = []
+    destroy = Broadcast.destroy
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a: dropped.append(1) or destroy(self, *a))
+    alone = LN.fit(blocks, [LN.Problem(1.0, 1)], LN.HINGE, tolerance=1e-6)
+    assert len(dropped) == alone.passes
+    both = LN.fit(blocks, [LN.Problem(1.0, 1), LN.Problem(1.0)], LN.HINGE, tolerance=1e-6)
+    assert both.rounds[0] < alone.rounds[0]
+    assert np.allclose(both.of(LN.Problem(1.0, 1)), alone.of(LN.Problem(1.0, 1)), atol=1e-4)
+
+
+@pytest.mark.parametrize("columns", [3, LN.NARROW + 3])
+def test_products_row_by_row_and_column_by_column(columns):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(9, 6)) * (rng.random((9, 6)) < 0.4)
+    x[[0, 4, 8]] = 0
+    lengths = (x != 0).sum(axis=1).astype(np.int64)
+    block = LN._Block.of({"lengths": lengths, "indices": np.nonzero(x)[1].astype(np.int32), "values": x[x != 0]})
+    w, slopes = rng.normal(size=(7, columns)), rng.normal(size=(9, columns))
+    out = np.zeros_like(w)
+    block.add_transposed(slopes, out)
+    assert np.allclose(block.times(w), x @ w[:-1] + w[-1])
+    assert np.allclose(out, np.vstack([x.T @ slopes, slopes.sum(axis=0)]))
