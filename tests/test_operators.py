@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docsift.functions import vectors as V
+from docsift.functions.arrays import ngrams, term_counts
 from docsift.operators import classify as C
 from docsift.operators import evaluate as E
 from docsift.operators import features as X
@@ -246,3 +247,22 @@ def test_split_table_reads_its_input_once(spark, tmp_path):
     assert str(tmp_path / "in") not in plan and "text" not in plan
     empty = spark.createDataFrame([], "id long, kind string")
     assert S.split_table(empty, "id", "kind").count() == 0
+
+
+def test_terms_are_counted_and_weighted_in_place(spark):
+    """Arrow batches give what the column functions and the join give, without a shuffle."""
+    lists = [["b", "a", "b", "a"], [], None, ["é", "b"], ["a"], ["zz", "a", "é", "a", "é"]]
+    rows = spark.createDataFrame(list(enumerate(lists)), "id int, t array<string>").repartition(1)
+    for low, high in ((1, 1), (1, 2), (2, 2)):
+        config = X.TfidfConfig(max_features=3, low=low, high=high, min_df=1, max_df=1.0)
+        terms = X.document_terms(rows, "id", F.col("t"), config)
+        plain = rows.select("id", term_counts(ngrams(F.col("t"), low, high)).alias("terms"))
+        assert "MapInArrow" in terms._jdf.queryExecution().toString()
+        assert terms.schema == plain.schema and sorted(terms.collect()) == sorted(plain.collect())
+        vocabulary = X.fit_vocabulary(terms, config)
+        found = X.transform(terms, vocabulary, "id", config)
+        assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
+        joined = {r["id"]: r["features"] for r in X._joined(terms, vocabulary, "id", [], config).collect()}
+        for r in found.collect():
+            assert [e["idx"] for e in r["features"]] == [e["idx"] for e in joined[r["id"]]]
+            assert [e["weight"] for e in r["features"]] == pytest.approx([e["weight"] for e in joined[r["id"]]])
