@@ -9,7 +9,6 @@ import functools
 import operator
 from collections.abc import Iterable
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -100,7 +99,8 @@ def _nfkd_udf():
 
 
 def _accents_udf():
-    def stripped(texts: pd.Series) -> pd.Series:
+    # A batch stays in Arrow; only some of its texts are Python strings at a time.
+    def stripped(texts: pa.Array) -> pa.Array:
         import unicodedata
 
         class Marks(dict):
@@ -110,9 +110,15 @@ def _accents_udf():
                 self[code] = None if unicodedata.combining(chr(code)) else code
                 return self[code]
 
-        return texts.str.normalize("NFKD").str.translate(Marks())
+        marks, parts = Marks(), [pa.array([], pa.string())]
+        for at in range(0, len(texts), 128):
+            some = texts.slice(at, 128).to_pylist()
+            parts.append(
+                pa.array([t and unicodedata.normalize("NFKD", t).translate(marks) for t in some], pa.string())
+            )
+        return pa.concat_arrays(parts)
 
-    return F.pandas_udf(stripped, StringType())
+    return F.arrow_udf(stripped, StringType())
 
 
 def _only_non_ascii(text: Column, apply) -> Column:

@@ -202,3 +202,22 @@ def test_cleaning_runs_once_under_a_filter(spark):
     plan = A.settle(rows, tokens=T.clean_tokens(F.col("text"))).filter(F.size("tokens") > 1)
     text = plan.select("id", F.size("tokens"))._jdf.queryExecution().executedPlan().toString()
     assert text.count("__CPP_LANG__") == 1
+
+
+def test_accents_are_stripped_in_small_pieces(spark):
+    """A batch of long texts is not held as Python strings all at once."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    function = T._accents_udf().func
+    texts = pa.array([None, "", *["\u00e9\u0106" * 1000] * 1998], pa.string())
+    tracemalloc.start()
+    try:
+        found = function(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    print("peak", peak)
+    assert found.slice(0, 3).to_pylist() == [None, "", "eC" * 1000] and len(found) == 2000
+    assert peak < 6_000_000
