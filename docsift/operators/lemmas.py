@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsift.functions.text import PROTECTED
 from docsift.sources.store import materialize, within
 
+register_pickle_by_value(sys.modules[__name__])
+
 # Public noun suffix rules of the WordNet morphology.
 NOUN_RULES = [
     ("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"),
@@ -52,28 +60,51 @@ def lemma_map(tokens: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
 
 
 def _changes(pairs: DataFrame, lemmas: DataFrame) -> DataFrame:
-    """The pairs whose token has a lemma.
+    """The pairs whose token has a lemma, where there are too many lemmas for a broadcast.
 
     The most frequent lemmas are broadcast. A token outside the first
     ``MAX_BROADCAST_LEMMAS`` is in at most that part of all pairs, so the rest
     joins by shuffle without a hot key.
     """
-    if within(lemmas, MAX_BROADCAST_LEMMAS):
-        return pairs.join(F.broadcast(lemmas), "token")
     hot = materialize(lemmas.orderBy(F.desc("n"), "token").limit(MAX_BROADCAST_LEMMAS), "hot-lemmas")
     rest = lemmas.join(hot, "token", "left_anti")
     return pairs.join(F.broadcast(hot), "token").unionByName(pairs.join(rest, "token"))
 
 
+def _replaced(tokens: pa.ListArray, names: pa.Array, lemmas: pa.Array) -> pa.ListArray:
+    """Token arrays with the lemma of every token that has one."""
+    words = tokens.flatten()
+    found = pc.index_in(words, value_set=names)
+    changed = pc.if_else(found.is_valid(), lemmas.take(found), words)
+    lengths = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    offsets = pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, changed, mask=tokens.is_null())
+
+
+def _in_place(df: DataFrame, row_id: str, tokens: str, lemmas: DataFrame) -> DataFrame:
+    """Lemmas that fit a broadcast go to every task; only the tokens visit Python and nothing is shuffled."""
+    known = lemmas.select("token", "lemma").toArrow().combine_chunks()
+    sent = df.sparkSession.sparkContext.broadcast([known[c].combine_chunks() for c in ("token", "lemma")])
+
+    @F.arrow_udf("array<string>")
+    def lemmas_of(held: pa.Array) -> pa.Array:
+        return _replaced(held, *sent.value)
+
+    return df.withColumn(tokens, F.when(F.col(row_id).isNull(), F.col(tokens)).otherwise(lemmas_of(tokens)))
+
+
 def lemmatize(df: DataFrame, row_id: str, tokens: str = "tokens", lexicon: DataFrame | None = None) -> DataFrame:
     """``df`` with lemmas in place of its ``tokens``; other columns stay.
 
-    Reads ``df`` several times: pass a written table. Only tokens that change
-    are grouped, as a small map per row id, and the array is rewritten in place.
+    Reads ``df`` several times: pass a written table, or columns that are cheap to make
+    from one. Up to ``MAX_BROADCAST_LEMMAS`` lemmas go to every task; beyond, tokens that
+    change are grouped as a small map per row id. The array is rewritten in place.
     Rows that share an id share a map; null, empty and null-id rows stay as they are.
     """
     pairs = df.filter(F.col(row_id).isNotNull()).select(row_id, F.explode(F.array_distinct(tokens)).alias("token"))
     lemmas = materialize(_counted_map(pairs, lexicon), "lemmas")
+    if within(lemmas, MAX_BROADCAST_LEMMAS):
+        return _in_place(df, row_id, tokens, lemmas)
     entry = F.struct("token", "lemma")
     maps = _changes(pairs, lemmas).groupBy(row_id).agg(F.map_from_entries(F.collect_set(entry)).alias(LEMMAS_OF_ROW))
     found = F.col(LEMMAS_OF_ROW)

@@ -306,11 +306,11 @@ def cleaning_trace(
     """Every cleaning step as a column: masked text, lower case without
     punctuation, tokens, tokens without stop words, their lemmas.
 
-    The first steps are written once. Without a lexicon the traced tokens are it.
+    The masked texts are written once, the other steps are made from them. Without a lexicon the
+    traced tokens are it.
     """
-    masked = settle(df, masked=T.mask_pii(F.col(text)))
-    lowered = masked.withColumn("lowered", T.blank_non_words(F.lower("masked")))
+    masked = materialize(settle(df, masked=T.mask_pii(F.col(text))), "trace")
+    lowered = settle(masked, lowered=T.blank_non_words(F.lower("masked")))
     split = settle(lowered, tokens=T.split_words(F.col("lowered")))
     kept = settle(split, without_stop_words=T.drop_stop_words(F.col("tokens")))
-    written = materialize(kept.withColumn("lemmas", F.col("without_stop_words")), "trace")
-    return LM.lemmatize(written, row_id, "lemmas", lexicon)
+    return LM.lemmatize(kept.withColumn("lemmas", F.col("without_stop_words")), row_id, "lemmas", lexicon)

@@ -157,6 +157,20 @@ def test_lemmas_stay_in_place(spark):
     assert LM.lemmatize(rows.limit(0), "id").collect() == []
 
 
+def test_lemmas_and_trace_shuffle_no_texts(spark, monkeypatch):
+    written, real = [], P.materialize
+    monkeypatch.setattr(P, "materialize", lambda df, name: written.append(df.columns) or real(df, name))
+    rows = spark.createDataFrame([(1, "Two cats, one cat"), (None, "cats"), (2, None), (1, "cats")], "id int, text string")
+    got = P.cleaning_trace(rows, "id")
+    assert written == [["id", "text", "masked"]]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    found = sorted((r["id"] or 0, r["text"] or "", r["lemmas"]) for r in got.collect())
+    assert found == [
+        (0, "cats", ["cats"]), (1, "Two cats, one cat", ["two", "cat", "one", "cat"]), (1, "cats", ["cat"]), (2, "", None)
+    ]
+
+
 def test_trace_ends_with_lemmas(spark):
     rows = spark.createDataFrame([(1, "The cats, and a cat"), (2, None)], "id int, text string")
     first, second = P.cleaning_trace(rows, "id").orderBy("id").collect()
