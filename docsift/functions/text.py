@@ -136,7 +136,9 @@ def strip_accents(text: Column) -> Column:
 
 
 def strip_blanks(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^[{BLANK}]+|[{BLANK}]+$", "")
+    """Only a text with a blank at an end meets the pattern that looks through all of it."""
+    ends = F.concat(F.left(text, F.lit(1)), F.right(text, F.lit(1)))
+    return F.when(ends.rlike(f"[{BLANK}]"), F.regexp_replace(text, rf"^[{BLANK}]+|[{BLANK}]+$", "")).otherwise(text)
 
 
 def _needle(written: str) -> str:
@@ -362,6 +364,11 @@ def vector_tokens(text: Column, pattern: str = "word2", accents: bool = True) ->
     return F.regexp_extract_all(text, F.lit(rf"[{WORD}]{{2,}}"), F.lit(0))
 
 
+def vector_words(text: Column, accents: bool = True) -> Column:
+    """``vector_tokens`` joined by blanks."""
+    return F.array_join(vector_tokens(text, accents=accents), " ")
+
+
 def mask_pii(text: Column) -> Column:
     return F.regexp_replace(_replace_emails(text, EMAIL_MASKED, EMAIL_TAG), PHONE, PHONE_TAG)
 

@@ -2,6 +2,10 @@
 
 ``tf = 1 + ln(count)``, ``idf = ln((1 + n) / (1 + df)) + 1``, rows scaled to unit
 length. The vocabulary is capped, so its broadcast has a fixed size bound.
+
+Documents come as ``terms`` (``document_terms``: every n-gram with its count) or as ``words``
+(in order, joined by blanks). Of words only n-grams that can pass the cap are ever counted
+by name, so neither the table nor a shuffle holds the many rare ones.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from docsift.functions.arrays import ngrams, term_counts
-from docsift.sources.store import materialize
+from docsift.sources.store import materialize, within
 
 register_pickle_by_value(sys.modules[__name__])
 
@@ -127,13 +131,18 @@ def capped(frequencies: DataFrame, config: TfidfConfig = STANDARD) -> DataFrame:
 
 
 def fit_vocabulary(terms: DataFrame, config: TfidfConfig = STANDARD) -> DataFrame:
-    """``(term, idx, df, idf)`` with alphabetical indices.
+    """``(term, idx, df, idf)`` with alphabetical indices, from ``terms`` or ``words``.
 
     The frequency limits come first, then the cap; the ordered window sees the
     capped terms only.
     """
     documents = terms.agg(F.count(F.lit(1))).scalar()
-    kept = capped(within_frequency(document_frequencies(terms), documents, config), config)
+    if "words" in terms.columns and by_words(config):
+        kept = capped_words(terms, config)
+    else:
+        if "words" in terms.columns:
+            terms = words_as_terms(terms, "words", config)
+        kept = capped(within_frequency(document_frequencies(terms), documents, config), config)
     order = W.partitionBy(F.lit(0)).orderBy("term")
     idf = F.log((F.lit(1.0) + documents) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     return kept.select(
@@ -141,6 +150,152 @@ def fit_vocabulary(terms: DataFrame, config: TfidfConfig = STANDARD) -> DataFram
     )
 
 
+#: Bytes of text split together.
+PIECE = 1 << 23
+#: Ranges of hashes in which pairs of words are counted first.
+BUCKETS = 1 << 20
+
+
+def _pieces(texts: pa.Array) -> Iterator[slice]:
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PIECE, "right")))
+        yield slice(at, to)
+        at = to
+
+
+def _split(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Row and text of every word; a text without words gives an empty one."""
+    lists = pc.split_pattern(texts.fill_null(""), " ")
+    lengths = lists.value_lengths().to_numpy()
+    return np.repeat(np.arange(len(lengths)), lengths), lists.flatten()
+
+
+def _coded(texts: pa.Array, names: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows and codes of the words, -1 for those not in ``names``, and where a pair of known neighbours begins."""
+    rows, words = _split(texts)
+    codes = pc.index_in(words, value_set=names).fill_null(-1).to_numpy().astype(np.int64)
+    known = codes >= 0
+    return rows, codes, np.flatnonzero((rows[1:] == rows[:-1]) & known[1:] & known[:-1])
+
+
+def _bucket(pairs: np.ndarray) -> np.ndarray:
+    mixed = pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(65 - BUCKETS.bit_length())).astype(np.int64)
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers in order, with counts, by a plain sort."""
+    ordered = np.sort(values)
+    starts = np.flatnonzero(np.append(len(ordered) > 0, ordered[1:] != ordered[:-1]))
+    return ordered[starts], np.diff(np.append(starts, len(ordered)))
+
+
+def _in_documents(rows: np.ndarray, codes: np.ndarray, n: int) -> np.ndarray:
+    """For each code the number of rows that hold it."""
+    return np.bincount(_distinct(rows * n + codes)[0] % n, minlength=n)
+
+
+def single_words(words: DataFrame) -> DataFrame:
+    """``(term, df, tf)`` of the words; tasks add up large pieces before the shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0)
+            for piece in _pieces(texts):
+                rows, found = _split(texts[piece])
+                found = found.dictionary_encode()
+                codes, names = found.indices.to_numpy(), found.dictionary
+                tf = np.bincount(codes, minlength=len(names))
+                counts = [names, pa.array(_in_documents(rows, codes, len(names))), pa.array(tf)]
+                yield pa.RecordBatch.from_arrays(counts, ["term", "df", "tf"]).filter(pc.not_equal(names, ""))
+
+    parts = words.select("words").mapInArrow(run, "term string, df long, tf long")
+    return parts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
+
+
+def _pair_totals(words: DataFrame, names: pa.Array) -> np.ndarray:
+    """Pairs of neighbours among ``names`` in each range of hashes: one bounded array per task, summed as a tree."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            texts = batch.column(0)
+            for piece in _pieces(texts):
+                _, codes, at = _coded(texts[piece], names)
+                totals += np.bincount(_bucket(codes[at] * len(names) + codes[at + 1]), minlength=BUCKETS)
+        yield pa.RecordBatch.from_arrays([pa.array([totals.tobytes()], pa.binary())], ["totals"])
+
+    parts = words.select("words").mapInArrow(run, "totals binary").rdd
+    return parts.map(lambda r: np.frombuffer(r[0], np.int64)).treeReduce(np.add)
+
+
+def word_pairs(words: DataFrame, names: pa.Array, least: int) -> DataFrame:
+    """``(term, df, tf)`` of pairs of neighbours among ``names``: all that occur ``least`` times, and some others.
+
+    A range of hashes with fewer pairs than that holds none of them.
+    """
+    likely = _pair_totals(words, names) >= least
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0)
+            for piece in _pieces(texts):
+                rows, codes, at = _coded(texts[piece], names)
+                pairs = codes[at] * len(names) + codes[at + 1]
+                kept = np.flatnonzero(likely[_bucket(pairs)])
+                found, tf = _distinct(pairs[kept])
+                if len(found):
+                    first, second = (names.take(pa.array(c)) for c in np.divmod(found, len(names)))
+                    term = pc.binary_join_element_wise(first, second, " ")
+                    df = _in_documents(rows[at[kept]], np.searchsorted(found, pairs[kept]), len(found))
+                    yield pa.RecordBatch.from_arrays([term, pa.array(df), pa.array(tf)], ["term", "df", "tf"])
+
+    parts = words.select("words").mapInArrow(run, "term string, df long, tf long")
+    return parts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
+
+
+def _arrow(df: DataFrame) -> pa.Table:
+    return df.toArrow().combine_chunks()
+
+
+def _column(table: pa.Table, name: str) -> pa.Array:
+    column = table[name].combine_chunks()
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
+
+def by_words(config: TfidfConfig) -> bool:
+    """Whether words are counted as such: single ones and pairs, with a cap that every task can hold."""
+    return config.low == 1 and config.high <= 2 and config.max_features <= MAX_BROADCAST_TERMS
+
+
+def capped_words(words: DataFrame, config: TfidfConfig = STANDARD) -> DataFrame:
+    """``capped`` of all terms within the frequency limits, from ``words``.
+
+    As many single words as the cap lets through bound from below how often a term of the vocabulary
+    occurs, and a pair occurs no more often than either of its words: other pairs are not counted.
+    """
+    documents = words.count()
+    singles = materialize(single_words(words), "single-words")
+    limits = lambda f: within_frequency(f, F.lit(documents), config)
+    if config.high == 1:
+        return capped(limits(singles), config)
+    first = capped(limits(singles), config).agg(F.count(F.lit(1)).alias("n"), F.min("tf").alias("tf")).first()
+    least = max(config.min_df, first["tf"] if first["n"] == config.max_features else 1)
+    frequent = singles.filter(F.col("tf") >= least).select("term")
+    if not within(frequent, MAX_BROADCAST_TERMS):
+        return capped(limits(document_frequencies(words_as_terms(words, "words", config))), config)
+    pairs = materialize(word_pairs(words, _column(_arrow(frequent), "term"), least), "word-pairs")
+    return capped(limits(singles.unionByName(pairs)), config)
+
+
+def words_as_terms(words: DataFrame, row_id: str, config: TfidfConfig, *keep: str) -> DataFrame:
+    """``document_terms`` of ``words``."""
+    tokens = F.filter(F.split("words", " "), lambda t: t != "")
+    return document_terms(words, row_id, tokens, config, *keep)
+
+
 def term_weight(config: TfidfConfig = STANDARD) -> Column:
     tf = F.lit(1.0) + F.log(F.col("n").cast("double")) if config.sublinear else F.col("n").cast("double")
     return tf * F.col("idf")
@@ -168,12 +323,16 @@ def transform(terms: DataFrame, vocabulary: DataFrame, row_id: str, config: Tfid
     vocabulary goes to every task, so a document is weighted where it is, without a
     shuffle; a larger one is joined.
     """
-    others = [c for c in terms.columns if c not in ("terms", row_id)]
+    others = [c for c in terms.columns if c not in ("terms", "words", row_id)]
+    if "words" in terms.columns and not by_words(config):
+        terms = words_as_terms(terms, row_id, config, *others)
     if config.max_features > MAX_BROADCAST_TERMS:
         return _joined(terms, vocabulary, row_id, others, config)
-    known = vocabulary.select("term", F.col("idx").cast("int").alias("idx"), "idf").toArrow().combine_chunks()
-    names, places = known["term"].combine_chunks(), known["idx"].to_numpy()
+    known = _arrow(vocabulary.select("term", F.col("idx").cast("int").alias("idx"), "idf"))
+    names, places = _column(known, "term"), known["idx"].to_numpy()
     idf, sublinear = known["idf"].to_numpy(), config.sublinear
+    if "words" in terms.columns:
+        return _weighted_words(terms, row_id, others, names, places, idf, sublinear)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,20 +346,65 @@ def transform(terms: DataFrame, vocabulary: DataFrame, row_id: str, config: Tfid
                 word = found.fill_null(0).to_numpy()[hit]
                 rows = np.repeat(np.arange(len(lengths)), lengths)[hit]
                 n = entries.field("n").to_numpy(zero_copy_only=False)[hit].astype(float)
-                raw = (1.0 + np.log(n) if sublinear else n) * idf[word]
-                square = np.bincount(rows, raw * raw, minlength=len(lengths))
                 order = np.lexsort((places[word], rows))
-                weight = (raw / np.sqrt(square)[rows])[order]
-                ends = np.cumsum(np.bincount(rows, minlength=len(lengths)))
-                pairs = pa.StructArray.from_arrays(
-                    [pa.array(places[word][order].astype(np.int32)), pa.array(weight)], ["idx", "weight"]
-                )
-                features = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pairs)
+                rows, word, n = rows[order], word[order], n[order]
+                features = _unit(len(lengths), rows, places[word], n, idf[word], sublinear)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], features], [row_id, *others, "features"])
 
     rows = terms.select(row_id, *others, "terms")
+    return rows.mapInArrow(run, _features_schema(rows))
+
+
+def _features_schema(rows: DataFrame) -> str:
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
-    return rows.mapInArrow(run, ", ".join([*kept, "features array<struct<idx:int,weight:double>>"]))
+    return ", ".join([*kept, "features array<struct<idx:int,weight:double>>"])
+
+
+def _unit(
+    size: int, rows: np.ndarray, places: np.ndarray, n: np.ndarray, idf: np.ndarray, sublinear: bool
+) -> pa.ListArray:
+    """Unit vectors of ``size`` rows from counts in the order of rows and places."""
+    raw = (1.0 + np.log(n) if sublinear else n) * idf
+    square = np.bincount(rows, raw * raw, minlength=size)
+    weight = raw / np.sqrt(square)[rows]
+    ends = np.cumsum(np.bincount(rows, minlength=size))
+    pairs = pa.StructArray.from_arrays([pa.array(places.astype(np.int32)), pa.array(weight)], ["idx", "weight"])
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pairs)
+
+
+def _weighted_words(
+    words: DataFrame, row_id: str, others: list[str], terms: pa.Array, places: np.ndarray, idf: np.ndarray, sublinear: bool
+) -> DataFrame:
+    """Only terms of the vocabulary are counted: a word is a code, a pair the number of two codes."""
+    parts = pc.split_pattern(terms, " ")
+    is_pair = parts.value_lengths().to_numpy() == 2
+    names = parts.flatten().unique()
+    codes = pc.index_in(parts.flatten(), value_set=names).to_numpy().astype(np.int64)
+    first = np.cumsum(1 + is_pair) - 1 - is_pair
+    keys = codes[first] * (len(names) + 1)
+    keys[is_pair] += codes[first[is_pair] + 1] + 1
+    order = np.argsort(keys)
+    keys, place_of = keys[order], places[order].astype(np.int64)
+    idf_of, width = np.zeros(int(places.max(initial=-1)) + 1), int(places.max(initial=-1)) + 1
+    idf_of[places] = idf
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in _pieces(batch.column(batch.num_columns - 1)):
+                part = batch.slice(piece.start, piece.stop - piece.start)
+                row, code, at = _coded(part.column(part.num_columns - 1), names)
+                alone = np.flatnonzero(code >= 0)
+                row = np.concatenate([row[alone], row[at]])
+                key = np.concatenate([code[alone] * (len(names) + 1), code[at] * (len(names) + 1) + code[at + 1] + 1])
+                found = np.searchsorted(keys, key).clip(max=max(len(keys) - 1, 0))
+                hit = keys[found] == key if len(keys) else np.zeros(0, bool)
+                entries, n = _distinct(row[hit] * width + place_of[found[hit]])
+                rows, place = np.divmod(entries, max(width, 1))
+                features = _unit(part.num_rows, rows, place, n.astype(float), idf_of[place], sublinear)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], features], [row_id, *others, "features"])
+
+    rows = words.select(row_id, *others, "words")
+    return rows.mapInArrow(run, _features_schema(rows))
 
 
 def _joined(terms: DataFrame, vocabulary: DataFrame, row_id: str, others: list[str], config: TfidfConfig) -> DataFrame:

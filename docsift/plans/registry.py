@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from docsift.operators import classify as C
 from docsift.operators import splits as S
-from docsift.plans.corpus import Corpus, prepare
+from docsift.plans.corpus import Corpus, Words, prepare, prepare_words
 from docsift.sources.store import materialize, spread
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,12 @@ def corpus(spark: SparkSession, sf_dir: str) -> Corpus:
     return once(spark, sf_dir, "corpus", make)
 
 
+def words(spark: SparkSession, sf_dir: str, raw: bool = False) -> Words:
+    """Words and split of the same corpus, and on demand the words of its raw texts."""
+    make = lambda: prepare_words(table(spark, sf_dir, "documents"), "lang", raw=raw)
+    return once(spark, sf_dir, f"words {raw}", make)
+
+
 def naive_bayes(spark: SparkSession, sf_dir: str) -> C.NaiveBayes:
     """The text model, fit on the training part."""
 
