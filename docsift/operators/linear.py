@@ -6,7 +6,7 @@ it, and one tree-shaped sum brings back losses and gradients of all. The driver
 an L-BFGS step for each setting; those that have settled leave the matrix. Settings
 that leave out a fold go on from the one on all rows. The driver holds the
 weights, gradients and a few steps of at most ``COLUMNS`` weight vectors at a time, whose
-length the cap of the vocabulary bounds.
+length the cap of the vocabulary bounds; the fewer vectors, the more steps of each.
 
 Two losses: ``hinge`` (squared hinge, one against the rest, the intercept a regularised
 feature, positive rows weighted) and ``softmax`` (multinomial, the intercept free, rows
@@ -36,10 +36,11 @@ from docsift.sources.store import materialize
 register_pickle_by_value(sys.modules[__name__])
 
 HINGE, SOFTMAX = "hinge", "softmax"
-#: Entries of a block, weight vectors fitted side by side, and steps remembered.
+#: Entries of a block, weight vectors fitted side by side, and steps remembered of each; fewer vectors remember more, up to a limit.
 ENTRIES = 1 << 16
 COLUMNS = 40
 MEMORY = 6
+MOST_MEMORY = 20
 #: Up to so many columns are multiplied one by one.
 NARROW = 12
 #: A step must gain this share of what the slope promises.
@@ -91,8 +92,11 @@ def _products(lengths: np.ndarray, indices: np.ndarray, values: np.ndarray, weig
             own = slice(starts[row], ends[row])
             out[row] += values[own] @ weights.take(indices[own], axis=0)
     elif len(rows := np.flatnonzero(lengths)):
+        places = indices.astype(np.intp)  # once, not for each column
         for j in range(weights.shape[1]):
-            out[rows, j] += np.add.reduceat(values * weights[:, j][indices], starts[rows])
+            products = weights[:, j].take(places)
+            products *= values
+            out[rows, j] += np.add.reduceat(products, starts[rows])
     return out
 
 
@@ -121,9 +125,11 @@ class _Block:
                 own = slice(ends[row] - self.lengths[row], ends[row])
                 out[self.indices[own]] += self.values[own, None] * slopes[row]  # no index twice in a row
         else:
-            row_of = np.repeat(np.arange(len(self.lengths)), self.lengths)
+            places = self.indices.astype(np.intp)
             for j in range(out.shape[1]):
-                out[:, j] += np.bincount(self.indices, self.values * slopes[row_of, j], minlength=len(out))
+                products = np.repeat(slopes[:, j], self.lengths)
+                products *= self.values
+                out[:, j] += np.bincount(places, products, minlength=len(out))
 
 
 def pack(
@@ -236,8 +242,8 @@ def _evaluate(rdd, columns: _Columns, weights: np.ndarray) -> tuple[np.ndarray,
 class _Descent:
     """L-BFGS of one setting, from zero or from where a ``like`` one, with its steps, has ended."""
 
-    def __init__(self, shape: tuple[int, int], like: _Descent | None = None):
-        self.x, self.steps, self.like = np.zeros(shape), [], like
+    def __init__(self, shape: tuple[int, int], like: _Descent | None = None, memory: int = MEMORY):
+        self.x, self.steps, self.like, self.memory = np.zeros(shape), [], like, memory
         self.f = self.g = self.start = None
         self.rounds = 0
         self.trial = self.x
@@ -271,7 +277,7 @@ class _Descent:
             self.start = np.linalg.norm(g)
             if self.like is not None:  # the gradient at zero is known; go on from there
                 self.x = self.trial = self.like.x
-                self.steps, self.like = self.like.steps, None
+                self.steps, self.like = self.like.steps[-self.memory :], None
                 return False
         if self.g is None:
             self.f, self.g = f, g
@@ -279,7 +285,7 @@ class _Descent:
             s, y = self.trial - self.x, g - self.g
             inner = np.vdot(s, y)
             if inner > 1e-12 * np.vdot(y, y):
-                self.steps = [*self.steps[1 - MEMORY :], (s, y, inner)]
+                self.steps = [*self.steps[1 - self.memory :], (s, y, inner)]
             self.x, self.f, self.g, self.rounds = self.trial, f, g, self.rounds + 1
         elif self.t < 1e-8:
             return True  # no step gains any more
@@ -338,8 +344,11 @@ def fit(
     try:
         for some in (part[at : at + together] for part in (whole, rest) for at in range(0, len(part), together)):
             columns = _columns(blocks, some, loss)
+            memory = min(MOST_MEMORY, max(MEMORY, MEMORY * COLUMNS // (k * len(some))))
             runs = [
-                _Descent((blocks.width + 1, width), like) for p in some for like in likes.get(p.c, [None] * (k // width))
+                _Descent((blocks.width + 1, width), like, memory)
+                for p in some
+                for like in likes.get(p.c, [None] * (k // width))
             ]
             open_ = list(range(len(runs)))
             while open_:

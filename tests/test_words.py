@@ -2,12 +2,14 @@
 
 import math
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from docsift.functions import text as T
 from docsift.operators import features as X
+from docsift.operators import linear as LN
 from docsift.plans import corpus as CO
 from docsift.plans import queries_models as QM
 from docsift.plans import registry as R
@@ -84,3 +86,17 @@ def test_pieces_cover_every_row(monkeypatch):
     monkeypatch.setattr(X, "PIECE", 5)
     texts = pa.array(["abcdefgh", None, "a", "", "bb", "cccc"])
     assert [i for p in X._pieces(texts) for i in range(p.start, p.stop)] == list(range(6))
+
+
+def test_few_vectors_remember_more_steps(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 40)) * (rng.random((300, 40)) < 0.4) * np.geomspace(1, 30, 40)
+    rows = [("ab"[int(r[0] + rng.normal() > 0)], [(j, float(v)) for j, v in enumerate(r) if v]) for r in x]
+    table = spark.createDataFrame(rows, "category string, features array<struct<idx:int,weight:double>>").repartition(2)
+    blocks = LN.pack(table, "category", ["a", "b"], 40)
+    fits = LN.fit(blocks, [LN.Problem(1.0)], LN.HINGE, tolerance=1e-6)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(LN, "MOST_MEMORY", LN.MEMORY)
+        before = LN.fit(blocks, [LN.Problem(1.0)], LN.HINGE, tolerance=1e-6)
+    assert fits.passes < before.passes and all(fits.converged)
+    assert np.allclose(fits.weights, before.weights, atol=1e-4)
