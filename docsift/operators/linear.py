@@ -23,6 +23,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.cloudpickle import register_pickle_by_value
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from docsift.functions import vectors as V
 from docsift.operators import classify as C
+from docsift.operators import features as X
 from docsift.sources.store import materialize
 
 register_pickle_by_value(sys.modules[__name__])
@@ -424,6 +426,22 @@ def margins(rows: DataFrame, weights: np.ndarray, *keep: str) -> DataFrame:
     return columns.mapInArrow(run, ", ".join([*kept, "margins array<double>"]))
 
 
+def score_bayes(words: DataFrame, model: C.NaiveBayes, row_id: str) -> DataFrame:
+    """``classify.score_naive_bayes`` of documents that come as ``words``, in place.
+
+    Class scores of unit vectors are products with the weights of the model, whose size the cap of the
+    vocabulary bounds; the log priors are the intercept.
+    """
+    others = [c for c in words.columns if c not in ("words", row_id)]
+    terms = materialize(model.terms, "bayes-terms").toPandas()
+    table = pd.DataFrame({"term": terms["term"], "idx": range(len(terms)), "idf": terms["idf"]})
+    vocabulary = words.sparkSession.createDataFrame(table, "term string, idx int, idf double")
+    weights = np.vstack([*terms["weights"], np.array(model.priors)])
+    features = X.transform(words, vocabulary, row_id, model.config)
+    found = margins(features, weights, row_id, *others).withColumnRenamed("margins", "joint")
+    return C.with_prediction(found, V.softmax(F.col("joint")), model.classes, "joint")
+
+
 def predictions(rows: DataFrame, fits: LinearFits, problem: Problem, *keep: str) -> DataFrame:
     """``(*keep, scores, y_pred)``: probabilities, or confidences from margins; ties go to the first class."""
     found = margins(rows, fits.of(problem), *keep)

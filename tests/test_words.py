@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docsift.functions import text as T
+from docsift.operators import classify as C
 from docsift.operators import features as X
 from docsift.operators import linear as LN
 from docsift.plans import corpus as CO
@@ -70,7 +71,7 @@ def test_words_and_split_are_those_of_the_corpus(spark, small):
 
 def test_queries_leave_the_terms_unwritten(spark, small):
     R.forget()
-    for query in (QM.capped_vocabulary, QM.small_tfidf_norms):
+    for query in (QM.capped_vocabulary, QM.small_tfidf_norms, QM.ablation):
         assert query(spark, small).count()
     assert not [key for key in R._written if key[2] == "corpus"]
 
@@ -100,3 +101,14 @@ def test_few_vectors_remember_more_steps(spark):
         before = LN.fit(blocks, [LN.Problem(1.0)], LN.HINGE, tolerance=1e-6)
     assert fits.passes < before.passes and all(fits.converged)
     assert np.allclose(fits.weights, before.weights, atol=1e-4)
+
+
+def test_bayes_of_words_scores_as_of_terms(spark):
+    config = X.TfidfConfig(6, min_df=1, max_df=1.0)
+    model = C.fit_naive_bayes(words(spark), "doc_id", "category", 0.1, config)
+    want = {r["doc_id"]: r for r in C.score_naive_bayes(counted(spark, config), model, "doc_id").collect()}
+    got = LN.score_bayes(words(spark), model, "doc_id").collect()
+    assert len(got) == len(want) == len(TEXTS)
+    for r in got:
+        assert r["y_pred"] == want[r["doc_id"]]["y_pred"]
+        assert np.allclose(r["scores"], want[r["doc_id"]]["scores"])
