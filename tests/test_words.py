@@ -112,3 +112,35 @@ def test_bayes_of_words_scores_as_of_terms(spark):
     for r in got:
         assert r["y_pred"] == want[r["doc_id"]]["y_pred"]
         assert np.allclose(r["scores"], want[r["doc_id"]]["scores"])
+
+
+def test_rows_of_one_document_are_scored_as_one(spark):
+    config = X.TfidfConfig(6, min_df=1, max_df=1.0)
+    model = C.fit_naive_bayes(words(spark), "doc_id", "category", 0.1, config)
+    twice = words(spark).union(words(spark).filter("doc_id % 3 = 0")).withColumn("doc_id", F.nullif("doc_id", F.lit(4)))
+    terms = X.words_as_terms(twice, "doc_id", config, "category")
+    want = {r["doc_id"]: r for r in C.score_naive_bayes(terms, model, "doc_id").collect()}
+    got = LN.score_bayes(twice, model, "doc_id", merged=True).collect()
+    assert len(got) == len(want) == len(TEXTS)
+    for r in got:
+        assert r["y_pred"] == want[r["doc_id"]]["y_pred"]
+        assert np.allclose(r["scores"], want[r["doc_id"]]["scores"])
+
+
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_folds_of_the_training_rows(spark, monkeypatch, limit):
+    monkeypatch.setattr(CO, "MAX_BROADCAST_IDS", limit)
+    split = spark.createDataFrame([(i, i % 4 == 0, i % 5) for i in range(len(TEXTS) - 1)], "doc_id int, is_test boolean, fold int")
+    w = CO.Words(words(spark))
+    w.__dict__["split"] = split
+    found = {r["doc_id"]: (r["words"], r["fold"]) for r in w.train_with_folds().collect()}
+    assert found == {i: (TEXTS[i], i % 5) for i in range(len(TEXTS) - 1) if i % 4}
+    assert {r["doc_id"] for r in w.test().collect()} == {0, 4}
+
+
+@pytest.mark.parametrize("name", ["model_metrics", "best_and_worst_model", "fold_scores", "cv_summary", "latest_history"])
+def test_queries_work_from_words(spark, small, name):
+    """Neither the clean texts nor the table of n-grams, several times the input, are written."""
+    R.forget()
+    assert getattr(QM, name)(spark, small).count()
+    assert not [key for key in R._written if key[2] == "corpus"]
