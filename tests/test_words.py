@@ -144,3 +144,27 @@ def test_queries_work_from_words(spark, small, name):
     R.forget()
     assert getattr(QM, name)(spark, small).count()
     assert not [key for key in R._written if key[2] == "corpus"]
+
+
+@pytest.mark.parametrize("limit, shuffled", [(0, True), (1000, False)])
+def test_vectors_meet_their_split_without_a_shuffle(spark, monkeypatch, limit, shuffled):
+    monkeypatch.setattr(CO, "MAX_BROADCAST_IDS", limit)
+    rows = [(i, i % 4 == 0, i % 5) for i in range(len(TEXTS)) for _ in range(1 + (i == 3))]
+    w = CO.Words(words(spark))
+    w.__dict__["split"] = spark.createDataFrame(rows, "doc_id int, is_test boolean, fold int")
+    vocabulary = X.fit_vocabulary(words(spark), X.SMALL)
+    with_split = w.with_split()
+    plan = with_split._jdf.queryExecution().optimizedPlan().toString()
+    assert ("broadcast" in plan) is not shuffled
+    key = lambda r: (r["doc_id"], r["category"], r["is_test"], r["fold"], r["features"])
+    got = map(key, X.transform(with_split, vocabulary, "doc_id", X.SMALL).collect())
+    after = X.transform(w.words, vocabulary, "doc_id", X.SMALL).join(w.split, "doc_id")
+    assert sorted(got) == sorted(map(key, after.collect()))
+
+
+def test_the_linear_features_use_it(spark, small, monkeypatch):
+    R.forget()
+    asked, real = [], CO.Words.with_split
+    monkeypatch.setattr(CO.Words, "with_split", lambda self: asked.append(1) or real(self))
+    QM._features(spark, small)
+    assert asked
